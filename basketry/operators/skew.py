@@ -1,0 +1,94 @@
+"""Joins that stay balanced when one key holds a large share of the rows.
+
+Group-bys need no help: partial aggregation leaves at most one row per key and
+task before the shuffle. A row-level join is different, because every row of a
+hot key hashes to one partition. ``skew_join`` finds such keys with a
+heavy-hitter sketch, spreads only their rows over all shuffle partitions and
+replicates only the matching lookup rows. Detection decides the routing of
+rows, never the result.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+SALT = "_salt"
+
+# A key is hot when it holds at least this share of the rows. Shares sum to
+# one, so there are never more than 1 / HOT_SHARE hot keys.
+HOT_SHARE = 1 / 512
+# Below this many rows a key fits one task whatever its share.
+HOT_ROWS = 1_000_000
+SKETCH_ITEMS = 8192
+MERGE_GROUPS = 256
+
+
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> Column:
+    """Array of the hot values of ``key``, as a scalar subquery.
+
+    Reads the key column only. One sketch per task is merged in two levels so
+    that no single task receives the sketches of all input partitions.
+    """
+    sketches = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("merge_group")).agg(
+        F.expr(f"approx_top_k_accumulate(`{key}`, {SKETCH_ITEMS})").alias("sketch"),
+        F.count("*").alias("rows"),
+    )
+    merged = sketches.agg(
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch), {int(1 / HOT_SHARE)})").alias("top"),
+        F.sum("rows").alias("rows"),
+    )
+    is_hot = lambda t: t["count"] >= F.greatest(F.lit(min_rows), F.col("rows") * HOT_SHARE)
+    return merged.select(F.transform(F.filter("top", is_hot), lambda t: t["item"]).alias("hot")).scalar()
+
+
+def salt_count(df: DataFrame) -> int:
+    """One salt per shuffle partition spreads a hot key over the whole cluster."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread_rows(df: DataFrame, key: str, hot: Column, salts: int) -> DataFrame:
+    """Add a salt: 0 for ordinary keys, a spread value for hot and null keys.
+
+    The value depends on the row and its input partition only, so a retried
+    task routes its rows exactly as the lost one did.
+    """
+    anywhere = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id()), F.lit(salts))
+    needs_salt = F.col(key).isNull() | F.array_contains(hot, F.col(key))
+    return df.withColumn(SALT, F.when(needs_salt, anywhere.cast("int")).otherwise(F.lit(0)))
+
+
+def replicate_rows(df: DataFrame, key: str, hot: Column, salts: int) -> DataFrame:
+    """Repeat the rows of hot keys once per salt; other rows stay single."""
+    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
+    wanted = F.when(F.array_contains(hot, F.col(key)), all_salts).otherwise(F.array(F.lit(0)))
+    return df.withColumn(SALT, F.explode(wanted))
+
+
+def auto_broadcast(df: DataFrame) -> bool:
+    """Whether Catalyst's own size estimate puts this side under the broadcast threshold."""
+    threshold = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    limit = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(threshold)
+    if limit < 0:
+        return False
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+
+
+def skew_join(
+    facts: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    how: str = "left",
+    min_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Join row-level ``facts`` with a ``lookup`` (how: left, inner, left_semi, left_anti).
+
+    A lookup under the broadcast threshold is joined without any shuffle of the
+    facts; otherwise hot keys are salted.
+    """
+    if auto_broadcast(lookup):
+        return facts.join(lookup, key, how)
+    hot = hot_keys(facts, key, min_rows)
+    salts = salt_count(facts)
+    left = spread_rows(facts, key, hot, salts)
+    right = replicate_rows(lookup, key, hot, salts)
+    return left.join(right, [key, SALT], how).drop(SALT)
