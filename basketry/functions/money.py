@@ -12,8 +12,6 @@ The low half keeps 20 bits: it overflows only beyond 2^43 rows in one group.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, functions as F
 
 SCALE = 4
@@ -21,31 +19,34 @@ LOW_BITS = 20
 WIDE_TYPE = "decimal(28,4)"
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def _exact_sum_sql(amount: str, scale: int) -> str:
+    units = f"cast(rint(({amount}) * {10**scale}) as bigint)"
+    high = f"cast(sum(shiftright({units}, {LOW_BITS})) as decimal(20,0))"
+    low = f"cast(sum({units} & {2**LOW_BITS - 1}) as decimal(20,0))"
+    return f"cast(({high} * {2**LOW_BITS} + {low}) * {10**-scale:.{scale}f} as double)"
 
 
-def exact_sum(amount: Column | str, scale: int = SCALE) -> Column:
-    """Sum of row-level amounts, rounded to ``scale`` decimals per row."""
-    units = F.rint(_col(amount) * F.lit(10**scale)).cast("bigint")
-    high = F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(20,0)")
-    low = F.sum(units.bitwiseAND(F.lit(2**LOW_BITS - 1))).cast("decimal(20,0)")
-    total = high * F.lit(Decimal(2**LOW_BITS)) + low
-    return (total * F.lit(Decimal(1).scaleb(-scale))).cast("double")
+def exact_sum(amount: str, scale: int = SCALE) -> Column:
+    """Sum of a row-level amount, a column or SQL expression, rounded to ``scale`` decimals per row."""
+    return F.expr(_exact_sum_sql(amount, scale))
 
 
-def exact_avg(amount: Column | str, scale: int = SCALE) -> Column:
+def exact_avg(amount: str, scale: int = SCALE) -> Column:
     """Mean of the non-null amounts; null when there are none."""
-    return F.try_divide(exact_sum(amount, scale), F.count(_col(amount)))
+    return F.expr(f"try_divide({_exact_sum_sql(amount, scale)}, count({amount}))")
 
 
-def wide_sum(amount: Column | str) -> Column:
+def wide_sum(amount: str) -> Column:
     """Sum of already aggregated amounts, which may exceed the row-level range."""
-    return F.sum(_col(amount).cast(WIDE_TYPE)).cast("double")
+    return F.expr(f"cast(sum(cast({amount} as {WIDE_TYPE})) as double)")
+
 
+def wide_avg(amount: str) -> Column:
+    return F.expr(f"try_divide(cast(sum(cast({amount} as {WIDE_TYPE})) as double), count({amount}))")
 
-def wide_avg(amount: Column | str) -> Column:
-    return F.try_divide(wide_sum(amount), F.count(_col(amount)))
+
+def _col(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
 
 def percent(part: Column | str, whole: Column | str) -> Column:

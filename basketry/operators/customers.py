@@ -74,17 +74,19 @@ def customer_spend(orders: DataFrame) -> DataFrame:
 def _with_customer(top: DataFrame, customers: DataFrame, *fields: str) -> DataFrame:
     """Attach one customer record to each of the few ranked rows.
 
-    The ranking is cut to n rows first, so both broadcasts hold at most n rows:
-    customers are filtered by the ranked ids while being scanned, then reduced
-    to one record per id (a re-run of the loader may have inserted an id twice).
+    The ranking has n rows at most, so it is held as one array in a scalar
+    subquery: evaluated once, it both yields the rows and filters the customers
+    while they are scanned. What is left of them is reduced to one record per
+    id, as a re-run of the loader may have inserted an id twice.
     """
-    wanted = F.broadcast(top.select("customer_id"))
+    ranked = top.agg(F.collect_list(F.struct(*top.columns))).scalar()
     found = (
-        customers.join(wanted, "customer_id", "left_semi")
+        customers.filter(F.array_contains(ranked["customer_id"], F.col("customer_id")))
         .groupBy("customer_id")
         .agg(F.min(F.when(F.col("name").isNotNull(), F.struct(*fields))).alias("customer"))
     )
-    return top.join(F.broadcast(found), "customer_id", "left")
+    rows = customers.sparkSession.range(1).select(F.inline(ranked))
+    return rows.join(F.broadcast(found), "customer_id", "left")
 
 
 def _fallback_name() -> Column:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from basketry.functions.columns import require_columns
 from basketry.functions.money import exact_avg
 
 MEDIAN_BINS = 4096
-MEDIAN_LEVELS = 3
 
 
 def histogram(df: DataFrame, column: str = "total_amount", bins: int = 15) -> DataFrame:
@@ -45,65 +44,44 @@ def histogram(df: DataFrame, column: str = "total_amount", bins: int = 15) -> Da
     )
 
 
-def _locate(binned: DataFrame, bin_column: str) -> DataFrame:
-    """The bin that holds each side's rank, with the rank counted inside that bin."""
-    side = Window.partitionBy("side")
-    up_to = F.sum("n").over(side.orderBy(bin_column))
-    before = F.col("up_to") - F.col("n")
-    return (
-        binned.withColumn("up_to", up_to)
-        .filter((F.col("rank") > before) & (F.col("rank") <= F.col("up_to")))
-        .withColumn("rank", F.col("rank") - before)
-        .drop("up_to", "n")
-    )
-
-
-def _bin_of(low: Column, high: Column) -> Column:
-    """Bin of ``x`` in [low, high]. Monotone in ``x``, so bins keep the order of values."""
-    width = (high - low) / F.lit(MEDIAN_BINS)
-    return F.when(width > 0, F.floor((F.col("x") - low) / width)).otherwise(F.lit(0)).cast("bigint")
-
-
-def exact_median(df: DataFrame, column: str = "total_amount") -> Column:
-    """Exact median as a scalar subquery, null when there are no values.
+def exact_median(df: DataFrame, column: str = "total_amount") -> float | None:
+    """Exact median of the non-null amounts, None when there are none (runs jobs).
 
     The built-in exact percentile gathers every distinct value in one task.
-    Here the two middle ranks ("sides") are located by repeated binning: a level
-    counts its bins with map-side combine, at most ``MEDIAN_BINS + 1`` rows per
-    side leave it, and only the bin holding the rank is looked at again, between
-    its own minimum and maximum. The distinct values that remain after the last
-    level are ranked exactly.
+    Here the interval that holds the middle ranks is split into bins, counted
+    with map-side combine, and the search goes on between the minimum and
+    maximum of the bin that holds them. Binning keeps the order of values, so
+    each step is exact; it divides the interval by ``MEDIAN_BINS`` and brings at
+    most ``MEDIAN_BINS + 1`` rows to the driver, whatever the size of the data.
     """
     require_columns(df, column)
-    values = df.select(F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    range_ = values.agg(F.struct(F.min("x").alias("low"), F.max("x").alias("high"))).scalar()
-    level = values.withColumn("bin_1", _bin_of(range_["low"], range_["high"]))
-    counted = level.groupBy("bin_1").agg(
-        F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")
-    )
-    n = F.sum("n").over(Window.partitionBy())  # over at most MEDIAN_BINS + 1 rows
-    middles = F.array(F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2))
-    sides = counted.withColumn("total", n).select("*", F.posexplode(middles).alias("side", "rank")).drop("total")
-    found = _locate(sides, "bin_1")
-
-    keys = ["bin_1"]
-    for depth in range(2, MEDIAN_LEVELS + 1):
-        this_bin = f"bin_{depth}"
-        # Two rows at most are broadcast: one per side.
-        level = level.join(F.broadcast(found), keys).select(
-            "x", "side", "rank", _bin_of(F.col("low"), F.col("high")).alias(this_bin)
+    x = F.col("x")
+    values = df.select(F.col(column).cast("double").alias("x")).filter(x.isNotNull() & ~F.isnan(x))
+    total, low, high = values.agg(F.count("*"), F.min("x"), F.max("x")).first()
+    if total == 0:
+        return None
+    lower, upper = (total + 1) // 2, (total + 2) // 2
+    while low < high:
+        width = high / MEDIAN_BINS - low / MEDIAN_BINS
+        bins = (
+            values.filter(x.between(low, high))
+            .groupBy(F.floor((x - F.lit(low)) / F.lit(width)).alias("bin"))
+            .agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+            .collect()
         )
-        keys = ["side", this_bin]
-        counted = level.groupBy("side", "rank", this_bin).agg(
-            F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")
-        )
-        found = _locate(counted, this_bin)
-        level = level.drop("rank")
-
-    last = level.join(F.broadcast(found), keys).groupBy("side", "rank", "x").agg(F.count("*").alias("n"))
-    return _locate(last, "x").agg(F.avg("x")).scalar()
+        before = 0
+        for b in sorted(bins, key=lambda b: b["bin"]):
+            if lower <= before + b["n"]:
+                break
+            before += b["n"]
+        if upper > before + b["n"]:
+            # The two middle values are the last of this bin and the first of the next.
+            return (b["high"] + min(c["low"] for c in bins if c["bin"] > b["bin"])) / 2
+        lower, upper, low, high = lower - before, upper - before, b["low"], b["high"]
+    return low
 
 
 def amount_center(df: DataFrame, column: str = "total_amount") -> DataFrame:
     """Mean and exact median of an amount column."""
-    return df.agg(exact_avg(column).alias("mean_amount")).withColumn("median_amount", exact_median(df, column))
+    median = F.lit(exact_median(df, column)).cast("double")
+    return df.agg(exact_avg(f"`{column}`").alias("mean_amount")).withColumn("median_amount", median)

@@ -2,19 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from basketry.functions.columns import require_columns
 from basketry.functions.money import exact_sum
-from basketry.operators.skew import (
-    HOT_ROWS,
-    SALT,
-    hot_keys,
-    replicate_rows,
-    salt_count,
-    skew_join,
-    spread_rows,
-)
+from basketry.operators.skew import HOT_ROWS, SALT, find_hot_keys, skew_join
 
 MAX_ITEMS = 10_000
 
@@ -45,30 +37,32 @@ def order_documents(
     grows with the size of one order; ``items_total`` is the total of the items
     in the document. An order without lines keeps an empty array.
     """
-    hot = hot_keys(lines, "order_id", min_hot_rows)
-    salts = salt_count(lines)
-    items = spread_rows(item_lines(lines, products), "order_id", hot, salts)
+    hot = find_hot_keys(lines, "order_id", min_hot_rows)
+    items = item_lines(lines, products)
+    if hot:
+        keys, items, orders = ["order_id", SALT], hot.spread(items), hot.replicate(orders)
+        salt = F.col(SALT)
+    else:
+        keys, salt = ["order_id"], F.lit(0)
+    in_order = Window.partitionBy(*keys).orderBy("product_id", "name", "price", "quantity")
     item = F.struct("product_id", "name", "price", "quantity")
-    in_order = Window.partitionBy("order_id", SALT).orderBy("product_id", "name", "price", "quantity")
-    chunk = F.floor((F.row_number().over(in_order) - 1) / max_items)
     # The grouping keys extend the window's keys, so this adds no shuffle.
     nested = (
-        items.withColumn("chunk", chunk)
-        .groupBy("order_id", SALT, "chunk")
+        items.withColumn("chunk", F.floor((F.row_number().over(in_order) - 1) / max_items))
+        .groupBy(*keys, "chunk")
         .agg(
             F.array_sort(F.collect_list(item)).alias("items"),
-            exact_sum(F.col("price") * F.col("quantity")).alias("items_total"),
+            exact_sum("price * quantity").alias("items_total"),
         )
     )
-    spread_orders = replicate_rows(orders, "order_id", hot, salts)
-    joined = spread_orders.join(nested, ["order_id", SALT], "left")
+    joined = orders.join(nested, keys, "left")
     # A hot order has lines; a salt that received none of them is not a document.
-    kept = joined.filter(F.col("items").isNotNull() | ~F.coalesce(F.array_contains(hot, F.col("order_id")), F.lit(False)))
+    kept = joined.filter(F.col("items").isNotNull() | ~hot.contains()) if hot else joined
     no_items = F.array().cast(nested.schema["items"].dataType)
     return kept.select(
         "order_id",
-        (F.coalesce("chunk", F.lit(0)) * salts + F.col(SALT)).cast("bigint").alias("part"),
-        *[c for c in orders.columns if c != "order_id"],
+        (F.coalesce("chunk", F.lit(0)) * hot.salts + salt).cast("bigint").alias("part"),
+        *[c for c in orders.columns if c not in keys],
         F.coalesce("items", no_items).alias("items"),
         F.coalesce("items_total", F.lit(0.0)).alias("items_total"),
     )
@@ -91,7 +85,7 @@ def order_item_totals(orders: DataFrame, lines: DataFrame, products: DataFrame)
     """Number of items and the sum of price times quantity per order, without nesting."""
     totals = item_lines(lines, products).groupBy("order_id").agg(
         F.count("*").alias("n_items"),
-        exact_sum(F.col("price") * F.col("quantity")).alias("items_total"),
+        exact_sum("price * quantity").alias("items_total"),
     )
     return orders.select("order_id").join(totals, "order_id", "left").select(
         "order_id",
@@ -100,6 +94,24 @@ def order_item_totals(orders: DataFrame, lines: DataFrame, products: DataFrame)
     )
 
 
+def document_item_preview(documents: DataFrame, n_orders: int = 3, per_order: int = 2) -> DataFrame:
+    """The first items of the first order documents, names cut to thirty characters."""
+    require_columns(documents, "order_id", "items")
+    first = documents.select("order_id", F.slice("items", 1, per_order).alias("items")).orderBy("order_id")
+    shown = first.limit(n_orders).select("order_id", F.posexplode("items").alias("position", "item"))
+    return shown.select(
+        "order_id",
+        (F.col("position") + 1).alias("position"),
+        _short_name("item.name"),
+        "item.quantity",
+        "item.price",
+    )
+
+
+def _short_name(column: str) -> Column:
+    return F.substring(F.coalesce(column, F.lit("Inconnu")), 1, 30).alias("name")
+
+
 def order_item_preview(
     orders: DataFrame, lines: DataFrame, products: DataFrame, n_orders: int = 3, per_order: int = 2
 ) -> DataFrame:
@@ -120,7 +132,7 @@ def order_item_preview(
         .select(
             "order_id",
             "position",
-            F.substring(F.coalesce("name", F.lit("Inconnu")), 1, 30).alias("name"),
+            _short_name("name"),
             "quantity",
             "price",
         )

@@ -7,14 +7,14 @@ product and price, where ``n_lines`` says how many items a row stands for.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from basketry.functions.columns import has_columns, require_columns
 from basketry.functions.money import exact_avg, exact_sum, wide_sum
 
 
-def _lines(items: DataFrame) -> Column:
-    return F.col("n_lines") if has_columns(items, "n_lines") else F.lit(1)
+def _lines(items: DataFrame) -> str:
+    return "n_lines" if has_columns(items, "n_lines") else "1"
 
 
 def product_item_facts(lines: DataFrame, products: DataFrame) -> DataFrame:
@@ -33,7 +33,7 @@ def product_sales(items: DataFrame) -> DataFrame:
     """Times sold and quantity per product id and name."""
     require_columns(items, "product_id", "name", "quantity")
     return items.groupBy("product_id", F.col("name").alias("produit")).agg(
-        F.sum(_lines(items)).alias("nb_ventes"), F.sum("quantity").alias("quantite_totale")
+        F.expr(f"sum({_lines(items)})").alias("nb_ventes"), F.sum("quantity").alias("quantite_totale")
     )
 
 
@@ -46,12 +46,12 @@ def product_revenue(items: DataFrame) -> DataFrame:
     require_columns(items, "product_id", "name", "price", "quantity")
     n = _lines(items)
     money = wide_sum if has_columns(items, "n_lines") else exact_sum
-    priced = F.sum(F.when(F.col("price").isNotNull(), n))
-    revenue = money(F.col("price") * F.col("quantity"))
+    revenue = money("price * quantity")
+    priced = F.expr(f"sum(if(price is null, null, {n}))")
     return items.groupBy("product_id", "name").agg(
         F.coalesce(F.sum("quantity"), F.lit(0)).alias("total_sold"),
         F.coalesce(revenue, F.lit(0.0)).alias("total_revenue"),
-        F.try_divide(money(F.col("price") * n), priced).alias("avg_price"),
+        F.try_divide(money(f"price * {n}"), priced).alias("avg_price"),
     )
 
 

@@ -6,20 +6,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from basketry.functions.columns import require_columns
 from basketry.functions.money import exact_avg, exact_sum, percent
+from basketry.operators.shares import row_count
 
 
-def _count(df: DataFrame) -> Column:
-    return df.agg(F.count("*")).scalar()
-
-
-def _delivered_kpis(delivered: Column) -> list[Column]:
-    amount = F.when(delivered, F.col("total_amount"))
-    return [
+def _delivered_kpis(orders: DataFrame, delivered: Column) -> DataFrame:
+    """One row of order counts and delivered amounts from a single scan."""
+    marked = orders.select("total_amount", delivered.alias("delivered"))
+    amount = "if(delivered, total_amount, null)"
+    return marked.agg(
         F.count("*").alias("total_orders"),
-        F.count_if(delivered).alias("delivered_orders"),
+        F.count_if("delivered").alias("delivered_orders"),
         F.coalesce(exact_sum(amount), F.lit(0.0)).alias("total_revenue"),
         F.coalesce(exact_avg(amount), F.lit(0.0)).alias("avg_order_value"),
-    ]
+    )
 
 
 def basic_statistics(
@@ -27,13 +26,13 @@ def basic_statistics(
 ) -> DataFrame:
     """Orders, delivered orders and their share, customers, products, revenue, mean basket."""
     require_columns(orders, "total_amount")
-    kpis = orders.agg(*_delivered_kpis(delivered))
+    kpis = _delivered_kpis(orders, delivered)
     return kpis.select(
         "total_orders",
         "delivered_orders",
         percent("delivered_orders", "total_orders").alias("delivered_pct"),
-        _count(customers).alias("total_customers"),
-        _count(products).alias("total_products"),
+        row_count(customers).alias("total_customers"),
+        row_count(products).alias("total_products"),
         "total_revenue",
         "avg_order_value",
     )
@@ -47,10 +46,10 @@ def summary_report(
     # The active customers need a distinct count; apart from the other KPIs it
     # keeps those in a single pass without an expanded aggregate.
     active = orders.filter(delivered).agg(F.count_distinct("customer_id")).scalar()
-    row = orders.agg(*_delivered_kpis(delivered)).select(
+    row = _delivered_kpis(orders, delivered).select(
         "*",
-        _count(customers).alias("total_customers"),
-        _count(products).alias("total_products"),
+        row_count(customers).alias("total_customers"),
+        row_count(products).alias("total_products"),
         active.alias("active_customers"),
     )
     some = F.col("delivered_orders") > 0
@@ -75,7 +74,7 @@ def quick_kpis(orders: DataFrame, delivered: Column) -> DataFrame:
     """Orders, delivered orders and share, revenue and mean order; revenue null if none delivered."""
     require_columns(orders, "total_amount")
     some = F.col("delivered_orders") > 0
-    return orders.agg(*_delivered_kpis(delivered)).select(
+    return _delivered_kpis(orders, delivered).select(
         "total_orders",
         "delivered_orders",
         percent("delivered_orders", "total_orders").alias("delivered_pct"),

@@ -9,10 +9,15 @@ from basketry.functions.money import exact_avg, exact_sum, percent, percent_roun
 
 
 def total_of(grouped: DataFrame, count: str) -> Column:
-    """Grand total of a count column. The subquery reuses the shuffle of ``grouped``."""
+    """Grand total of a group count. The subquery reuses the shuffle of ``grouped``."""
     return grouped.agg(F.sum(count)).scalar()
 
 
+def row_count(df: DataFrame) -> Column:
+    """Number of rows, as a scalar subquery that reads no column."""
+    return df.agg(F.count("*")).scalar()
+
+
 def share(df: DataFrame, by: str) -> DataFrame:
     """Row count and percentage (two decimals) per value of ``by``."""
     require_columns(df, by)
@@ -58,7 +63,7 @@ def payment_mix(orders: DataFrame) -> DataFrame:
         amounts = ["montant_total", "panier_moyen"]
         measures += [exact_sum("total_amount").alias(amounts[0]), exact_avg("total_amount").alias(amounts[1])]
     grouped = orders.groupBy("payment_method").agg(*measures)
-    total = total_of(grouped, "nombre_commandes")
+    total = row_count(orders)
     known = F.col("payment_method").isNotNull()
     return grouped.select(
         "payment_method",
@@ -84,7 +89,7 @@ def payment_totals(orders: DataFrame, unknown: str = "Non spécifié") -> DataFr
         F.coalesce(exact_sum("total_amount"), F.lit(0.0)).alias("total_amount"),
         exact_avg("total_amount").alias("avg_amount"),
     )
-    total = total_of(grouped, "n")
+    total = row_count(orders)
     return grouped.select(
         label_or("payment_method", unknown).alias("payment_method"),
         F.col("n").alias("count"),

@@ -4,73 +4,94 @@ Group-bys need no help: partial aggregation leaves at most one row per key and
 task before the shuffle. A row-level join is different, because every row of a
 hot key hashes to one partition. ``skew_join`` finds such keys with a
 heavy-hitter sketch, spreads only their rows over all shuffle partitions and
-replicates only the matching lookup rows. Detection decides the routing of
-rows, never the result.
+replicates only the matching lookup rows.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 SALT = "_salt"
 
-# A key is hot when it holds at least this share of the rows. Shares sum to
-# one, so there are never more than 1 / HOT_SHARE hot keys.
-HOT_SHARE = 1 / 512
+# A key is hot when its rows fill half an average shuffle partition, or one in
+# MAX_HOT_KEYS rows on very wide shuffles. Shares sum to one, so there are never
+# more than MAX_HOT_KEYS hot keys; the sketch is several times finer than that.
+MAX_HOT_KEYS = 2048
+SKETCH_ITEMS = 4 * MAX_HOT_KEYS
 # Below this many rows a key fits one task whatever its share.
 HOT_ROWS = 1_000_000
-SKETCH_ITEMS = 8192
 MERGE_GROUPS = 256
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> Column:
-    """Array of the hot values of ``key``, as a scalar subquery.
+@dataclass(frozen=True)
+class HotKeys:
+    """Hot values of a key column, and how many ways their rows are spread.
 
-    Reads the key column only. One sketch per task is merged in two levels so
-    that no single task receives the sketches of all input partitions.
+    The values are fixed before the join is planned, so both sides of a join
+    agree on them: they decide where rows go, never which rows match.
     """
-    sketches = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("merge_group")).agg(
-        F.expr(f"approx_top_k_accumulate(`{key}`, {SKETCH_ITEMS})").alias("sketch"),
-        F.count("*").alias("rows"),
-    )
-    merged = sketches.agg(
-        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch), {int(1 / HOT_SHARE)})").alias("top"),
-        F.sum("rows").alias("rows"),
-    )
-    is_hot = lambda t: t["count"] >= F.greatest(F.lit(min_rows), F.col("rows") * HOT_SHARE)
-    return merged.select(F.transform(F.filter("top", is_hot), lambda t: t["item"]).alias("hot")).scalar()
 
+    key: str
+    values: tuple[Any, ...]
+    null_is_hot: bool
+    salts: int
 
-def salt_count(df: DataFrame) -> int:
-    """One salt per shuffle partition spreads a hot key over the whole cluster."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    def __bool__(self) -> bool:
+        return bool(self.values) or self.null_is_hot
 
+    def contains(self) -> Column:
+        """True for hot values; false for all others including null."""
+        return F.coalesce(F.col(self.key).isin(list(self.values)), F.lit(False)) if self.values else F.lit(False)
 
-def spread_rows(df: DataFrame, key: str, hot: Column, salts: int) -> DataFrame:
-    """Add a salt: 0 for ordinary keys, a spread value for hot and null keys.
+    def spread(self, df: DataFrame) -> DataFrame:
+        """Add a salt: 0 for ordinary keys, one of many for hot and null keys.
 
-    The value depends on the row and its input partition only, so a retried
-    task routes its rows exactly as the lost one did.
-    """
-    anywhere = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id()), F.lit(salts))
-    needs_salt = F.col(key).isNull() | F.array_contains(hot, F.col(key))
-    return df.withColumn(SALT, F.when(needs_salt, anywhere.cast("int")).otherwise(F.lit(0)))
+        It depends on the row and its input partition only, so a retried task
+        routes its rows exactly as the lost one did, and copies of one row in
+        different partitions part ways.
+        """
+        anywhere = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id()), F.lit(self.salts))
+        salted = self.contains() | F.col(self.key).isNull()
+        return df.withColumn(SALT, F.when(salted, anywhere.cast("int")).otherwise(F.lit(0)))
 
+    def replicate(self, df: DataFrame) -> DataFrame:
+        """Repeat rows of hot keys once per salt; other rows stay single."""
+        every = F.sequence(F.lit(0), F.lit(self.salts - 1))
+        return df.withColumn(SALT, F.explode(F.when(self.contains(), every).otherwise(F.array(F.lit(0)))))
 
-def replicate_rows(df: DataFrame, key: str, hot: Column, salts: int) -> DataFrame:
-    """Repeat the rows of hot keys once per salt; other rows stay single."""
-    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
-    wanted = F.when(F.array_contains(hot, F.col(key)), all_salts).otherwise(F.array(F.lit(0)))
-    return df.withColumn(SALT, F.explode(wanted))
+
+def find_hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> HotKeys:
+    """Look for hot values of ``key`` (runs a job that reads only that column).
+
+    One sketch per task is merged in two levels, so that no single task receives
+    the sketches of all input partitions; at most MAX_HOT_KEYS values come back.
+    """
+    # One salt per shuffle partition spreads a hot key over the whole cluster.
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sketches = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("merge_group")).agg(
+        F.expr(f"approx_top_k_accumulate(`{key}`, {SKETCH_ITEMS})").alias("sketch"),
+        F.count("*").alias("n"),
+    )
+    # Grouping by a constant gives no row, instead of an error, for empty input.
+    row = sketches.groupBy(F.lit(True).alias("all")).agg(
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch), {MAX_HOT_KEYS})").alias("top"),
+        F.sum("n").alias("n"),
+    ).first()
+    hot = []
+    if row:
+        least = max(min_rows, row["n"] / min(2 * salts, MAX_HOT_KEYS))
+        hot = [t["item"] for t in row["top"] if t["count"] >= least]
+    return HotKeys(key, tuple(v for v in hot if v is not None), None in hot, salts)
 
 
 def auto_broadcast(df: DataFrame) -> bool:
     """Whether Catalyst's own size estimate puts this side under the broadcast threshold."""
-    threshold = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    limit = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(threshold)
-    if limit < 0:
-        return False
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
 
 
 def skew_join(
@@ -83,12 +104,11 @@ def skew_join(
     """Join row-level ``facts`` with a ``lookup`` (how: left, inner, left_semi, left_anti).
 
     A lookup under the broadcast threshold is joined without any shuffle of the
-    facts; otherwise hot keys are salted.
+    facts. Otherwise the facts are examined for hot keys, and those are salted.
     """
     if auto_broadcast(lookup):
         return facts.join(lookup, key, how)
-    hot = hot_keys(facts, key, min_rows)
-    salts = salt_count(facts)
-    left = spread_rows(facts, key, hot, salts)
-    right = replicate_rows(lookup, key, hot, salts)
-    return left.join(right, [key, SALT], how).drop(SALT)
+    hot = find_hot_keys(facts, key, min_rows)
+    if not hot:
+        return facts.join(lookup, key, how)
+    return hot.spread(facts).join(hot.replicate(lookup), [key, SALT], how).drop(SALT)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,59 +14,74 @@ from basketry.sources.readers import load_table
 
 @dataclass(frozen=True)
 class Dataset:
-    """Lazy views: nothing is read until a result is asked for."""
+    """Lazy views; a table is opened when a view over it is first used."""
 
-    orders: DataFrame
-    lines: DataFrame
-    products: DataFrame
-    customers: DataFrame
+    spark: SparkSession
+    directory: str
+
+    def _table(self, name: str) -> DataFrame:
+        return load_table(self.spark, f"{self.directory}/{name}.parquet", schema=STAR_TABLES[name])
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self._table("orders").select(
+            F.col("o_orderkey").alias("order_id"),
+            F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderdate").alias("date"),
+            F.col("o_totalprice").alias("total_amount"),
+            F.col("o_orderpriority").alias("payment_method"),
+            F.col("o_orderstatus").alias("status"),
+        )
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        return self._table("lineitem").select(
+            F.col("l_orderkey").alias("order_id"),
+            F.col("l_partkey").alias("product_id"),
+            F.col("l_quantity").alias("quantity"),
+        )
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self._table("part").select(
+            F.col("p_partkey").alias("product_id"),
+            F.col("p_name").alias("name"),
+            F.col("p_type").alias("category"),
+            F.col("p_retailprice").alias("price"),
+        )
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        """Customers with the name of their nation and the time of their first signup.
+
+        Both lookups are unique on their join key, so Catalyst drops a join
+        whose columns are not asked for: counting customers reads no events.
+        """
+        nations = (
+            self._table("nation")
+            .groupBy(F.col("n_nationkey").alias("c_nationkey"))
+            .agg(F.min("n_name").alias("location"))
+        )
+        signups = (
+            self._table("events")
+            .filter(F.col("event_type") == "signup")
+            .groupBy(F.col("user_id").alias("c_custkey"))
+            .agg(F.min("ts").alias("join_date"))
+        )
+        return (
+            skew_join(self._table("customer"), nations, "c_nationkey")
+            .join(signups, "c_custkey", "left")
+            .select(
+                F.col("c_custkey").alias("customer_id"),
+                F.col("c_name").alias("name"),
+                "location",
+                "join_date",
+            )
+        )
 
     def collections(self) -> dict[str, DataFrame]:
         return {"customers": self.customers, "orders": self.orders, "products": self.products}
 
 
 def load_dataset(spark: SparkSession, sf_dir: str) -> Dataset:
-    def table(name: str) -> DataFrame:
-        return load_table(spark, f"{sf_dir}/{name}.parquet", schema=STAR_TABLES[name])
-
-    orders = table("orders").select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").alias("date"),
-        F.col("o_totalprice").alias("total_amount"),
-        F.col("o_orderpriority").alias("payment_method"),
-        F.col("o_orderstatus").alias("status"),
-    )
-    lines = table("lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").alias("quantity"),
-    )
-    products = table("part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("name"),
-        F.col("p_type").alias("category"),
-        F.col("p_retailprice").alias("price"),
-    )
-    # Both lookups are unique on their join key, so Catalyst drops a join
-    # whenever its columns are not asked for (counting customers reads no events).
-    nations = (
-        table("nation").groupBy(F.col("n_nationkey").alias("c_nationkey")).agg(F.min("n_name").alias("location"))
-    )
-    signups = (
-        table("events")
-        .filter(F.col("event_type") == "signup")
-        .groupBy("user_id")
-        .agg(F.min("ts").alias("join_date"))
-    )
-    customers = (
-        skew_join(table("customer"), nations, "c_nationkey")
-        .join(signups, F.col("c_custkey") == F.col("user_id"), "left")
-        .select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("c_name").alias("name"),
-            "location",
-            "join_date",
-        )
-    )
-    return Dataset(orders, lines, products, customers)
+    return Dataset(spark, sf_dir)
