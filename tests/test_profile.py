@@ -1,0 +1,54 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+
+from basketry.functions.columns import MissingColumns
+from basketry.operators import profile
+from conftest import ITEM, one, rows_of
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    rows = [
+        ("a", 10, None, [("P1", "Télé", 1, 2)]),
+        ("b", None, None, None),
+        ("c", 30, dt.datetime(2024, 5, 1), []),
+    ]
+    return spark.createDataFrame(rows, f"id string, n bigint, at timestamp, items array<{ITEM}>")
+
+
+def test_missing_values(table):
+    out = {r.column_name: (r.n_missing, r.pct_missing) for r in profile.missing_values(table).collect()}
+    assert out == {"n": (1, 100 / 3), "at": (2, 200 / 3), "items": (1, 100 / 3)}
+    assert profile.missing_values(table.limit(0)).isEmpty()
+
+
+def test_missing_values_is_one_scan(table):
+    plan = profile.missing_values(table)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1
+
+
+def test_dimensions_and_schema(table):
+    assert rows_of(profile.collection_profile({"x": table, "y": table.select("id")})) == [("x", 3, 4), ("y", 3, 1)]
+    listing = profile.schema_listing("x", table).collect()
+    assert [(r.ordinal, r.column_name, r.data_type) for r in listing[:3]] == [
+        (1, "id", "string"), (2, "n", "bigint"), (3, "at", "timestamp"),
+    ]
+    assert {r.n_rows for r in listing} == {3}
+
+
+def test_preview_and_period(table):
+    assert [r.id for r in profile.preview(table, "id", 2).collect()] == ["a", "b"]
+    day = dt.datetime(2024, 5, 1)
+    assert one(profile.period(table, "at")) == {"first": day, "last": day}
+
+
+def test_search(table):
+    assert rows_of(profile.search(table, "id", "a").select("id")) == [("a",)]
+    assert rows_of(profile.search(table, "n", "0").select("id")) == [("a",), ("c",)]
+    assert rows_of(profile.search(table, "items", "Télé").select("id")) == [("a",)]
+    assert one(profile.search_hits(table, "n", "3")) == {"n_hits": 1}
+    with pytest.raises(MissingColumns, match="available columns"):
+        profile.search(table, "nope", "x")

@@ -1,0 +1,73 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from basketry.operators.skew import SALT, find_hot_keys, skew_join
+from conftest import rows_of
+
+
+@pytest.fixture(scope="module")
+def facts(spark):
+    key = (
+        F.when(F.col("id") % 3 == 0, F.lit("hot"))
+        .when(F.col("id") % 50 == 1, F.lit(None))
+        .otherwise(F.concat(F.lit("k"), (F.col("id") % 500).cast("string")))
+    )
+    return spark.range(20_000).select(key.alias("k"), "id")
+
+
+@pytest.fixture(scope="module")
+def lookup(spark):
+    rows = [(f"k{i}", i) for i in range(400)] + [("hot", -1), ("hot", -2), ("unused", -3), (None, -4)]
+    return spark.createDataFrame(rows, "k string, v bigint")
+
+
+def test_finds_hot_and_null_keys(facts):
+    hot = find_hot_keys(facts, "k", min_rows=100)
+    assert hot.values == ("hot",) and not hot.null_is_hot
+    nulls = find_hot_keys(facts.withColumn("k", F.when(F.col("id") % 2 == 0, F.col("k"))), "k", min_rows=100)
+    assert nulls.null_is_hot
+
+
+def test_nothing_hot(facts):
+    assert not find_hot_keys(facts, "k")  # below the default row floor
+    assert not find_hot_keys(facts.limit(0), "k", min_rows=1)
+
+
+def test_works_on_other_key_types(spark):
+    base = spark.range(4000).select((F.col("id") % 2 * F.col("id")).alias("n"))
+    assert find_hot_keys(base, "n", 100).values == (0,)
+    days = base.select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("n").cast("int")).alias("d"))
+    (day,) = find_hot_keys(days, "d", 100).values
+    assert str(day) == "2024-01-01"
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_salted_join_equals_plain_join(facts, lookup, how, no_broadcast):
+    salted = skew_join(facts, lookup, "k", how, min_rows=100)
+    assert SALT in salted._jdf.queryExecution().optimizedPlan().toString()
+    assert SALT not in salted.columns
+    assert rows_of(salted) == rows_of(facts.join(lookup, "k", how))
+
+
+def test_hot_rows_are_balanced_and_stable(facts):
+    hot = find_hot_keys(facts, "k", min_rows=100)
+    spread = hot.spread(facts)
+    sizes = [r["count"] for r in spread.filter("k = 'hot'").groupBy(SALT).count().collect()]
+    assert len(sizes) == hot.salts and max(sizes) < 2 * min(sizes)
+    assert spread.filter(f"k like 'k%' and {SALT} <> 0").isEmpty()
+    assert rows_of(spread) == rows_of(hot.spread(facts))
+
+
+def test_copies_of_one_row_part_ways(spark):
+    copies = spark.range(0, 8000, 1, 8).select(F.lit("hot").alias("k"), F.lit(1).alias("x"))
+    hot = find_hot_keys(copies, "k", min_rows=100)
+    assert hot.spread(copies).select(SALT).distinct().count() > 1
+
+
+def test_small_lookup_needs_no_salt(spark, facts):
+    small = spark.range(400).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"), "id")
+    plan = skew_join(facts, small.withColumnRenamed("id", "v"), "k", min_rows=100)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and SALT not in text
