@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from basketry.functions.calendar import AsOf, as_of_column, to_day, weekday_name
 from basketry.functions.columns import require_columns
-from basketry.functions.money import exact_avg, exact_sum
+from basketry.functions.money import exact_avg, exact_sum, wide_avg
 from basketry.functions.predicates import delivered_contains
 
 # Feature order, model name and regression settings.
@@ -29,12 +29,12 @@ MIN_DELIVERED = 5
 def training_rows(orders: DataFrame, delivered: Column | None = None, min_rows: int = MIN_DELIVERED) -> DataFrame:
     """Delivered orders, or all orders when fewer than ``min_rows`` are delivered.
 
-    The gate looks for ``min_rows`` delivered orders only, so each task of its
-    subquery stops after a few matches.
+    Fetches ``min_rows`` delivered orders to decide, which reads a few partitions
+    unless deliveries are rare; the plain filter then reaches the scan.
     """
-    wanted = delivered_contains() if delivered is None else delivered
-    enough = orders.filter(wanted).select(F.lit(1).alias("one")).limit(min_rows).agg(F.count("*")).scalar()
-    return orders.filter(wanted | (enough < min_rows))
+    done = orders.filter(delivered_contains() if delivered is None else delivered)
+    enough = len(done.select(F.lit(1)).take(min_rows)) == min_rows
+    return done if enough else orders
 
 
 def calendar_columns(day: Column) -> list[Column]:
@@ -196,7 +196,7 @@ def forecast_summary(predictions: DataFrame) -> DataFrame:
 
 def forecast_trend(summary: DataFrame, delivered_orders: DataFrame) -> DataFrame:
     """Mean forecast against the mean delivered order; no row without a positive history."""
-    history = delivered_orders.agg(F.avg("total_amount")).scalar()
+    history = delivered_orders.agg(exact_avg("total_amount")).scalar()
     change = (F.col("avg_predicted") - F.col("historical_avg")) / F.col("historical_avg") * 100
     return (
         summary.withColumn("historical_avg", history)
@@ -216,7 +216,7 @@ def forecast_vs_history(predictions: DataFrame, history: DataFrame) -> DataFrame
     forecast_mean = predictions.agg(F.avg("predicted_sales")).scalar()
     change = (F.col("pred_avg") - F.col("hist_avg")) / F.col("hist_avg") * 100
     return (
-        history.agg(F.avg("daily_sales").alias("hist_avg"))
+        history.agg(wide_avg("daily_sales").alias("hist_avg"))
         .filter(F.col("hist_avg").isNotNull())
         .withColumn("pred_avg", F.coalesce(forecast_mean, F.lit(0.0)))
         .select(

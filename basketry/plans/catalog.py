@@ -375,6 +375,11 @@ def order_documents(d: Dataset) -> DataFrame:
     return documents.order_documents(d.orders, d.lines, d.products)
 
 
+@query
+def order_documents_json(d: Dataset) -> DataFrame:
+    return json_rows(documents.order_documents(d.orders, d.lines, d.products).drop("part", "items_total"))
+
+
 @query
 def exploded_items(d: Dataset) -> DataFrame:
     nested = documents.order_documents(delivered(d), delivered_lines(d), d.products)

@@ -288,6 +288,18 @@ SELECT COUNT(*) AS "Nombre_Produits", {mean("p_retailprice")} AS "Prix_Moyen",
        MIN(p_retailprice) AS "Prix_Min", MAX(p_retailprice) AS "Prix_Max"
 FROM part""",
     "category_distribution": "SELECT p_type AS category, COUNT(*) AS count FROM part GROUP BY 1",
+    "order_documents_json": f"""
+WITH docs AS (
+  SELECT order_id, string_agg('{{"product_id":' || product_id || ',"name":"' || name || '","price":'
+           || CAST(price AS VARCHAR) || ',"quantity":' || CAST(quantity AS VARCHAR) || '}}',
+           ',' ORDER BY product_id, name, price, quantity) AS items
+  FROM ({ITEMS}) GROUP BY order_id)
+SELECT '{{"order_id":' || o_orderkey || ',"customer_id":' || o_custkey
+       || ',"date":"' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+       || '","total_amount":' || CAST(o_totalprice AS VARCHAR)
+       || ',"payment_method":"' || o_orderpriority || '","status":"' || o_orderstatus
+       || '","items":[' || COALESCE(items, '') || ']}}' AS json
+FROM orders LEFT JOIN docs ON order_id = o_orderkey""",
     "exploded_items": DELIVERED_ITEMS,
     "order_item_totals": f"""
 SELECT o_orderkey AS order_id, COUNT(i.order_id) AS n_items,

@@ -21,6 +21,8 @@ PREDICTIONS = (
     "weekday string, model string, features_used array<string>, created_at string"
 )
 
+COLLECTIONS = {"orders": ORDERS, "products": PRODUCTS, "customers": CUSTOMERS}
+
 STAR_TABLES = {
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
     "o_orderdate timestamp_ntz, o_orderpriority string",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from typing import Any
 
 from pyspark.errors import PySparkException
@@ -11,6 +11,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from basketry.schemas import COLLECTIONS
+
 log = logging.getLogger(__name__)
 
 READ_ERRORS = (PySparkException, Py4JJavaError)
@@ -52,6 +54,17 @@ def load_first(
     return spark.createDataFrame([], schema)
 
 
+def load_collections(
+    spark: SparkSession, locate: Iterable[Callable[[str], Mapping[str, Any]]]
+) -> dict[str, DataFrame]:
+    """Orders, products and customers, each from the first way of locating it that works.
+
+    A locator turns a collection name into keyword arguments of ``load_table``.
+    """
+    ways = list(locate)
+    return {name: load_first(spark, [way(name) for way in ways], schema) for name, schema in COLLECTIONS.items()}
+
+
 def table_exists(spark: SparkSession, name: str, fmt: str | None = None) -> bool:
     """Whether a catalog table, or with ``fmt`` a dataset at that path, can be read."""
     if fmt is None:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry import schemas
-from basketry.sources.readers import list_tables, load_first, load_table, table_exists
+from basketry.sources.readers import list_tables, load_collections, load_first, load_table, table_exists
 from basketry.sources.writers import Target, export_json, json_rows, replace_table, save_results
 from conftest import ITEM, rows_of
 
@@ -51,6 +51,16 @@ def test_no_readable_source_gives_typed_empty(spark, tmp_path):
     assert df.count() == 0 and df.columns[0] == "order_id" and df.schema["items"].dataType.typeName() == "array"
 
 
+def test_collections_fall_back_one_by_one(spark, orders, tmp_path):
+    orders.write.json(f"{tmp_path}/orders")
+    got = load_collections(
+        spark,
+        [lambda name: {"path": f"{tmp_path}/{name}.parquet"}, lambda name: {"path": f"{tmp_path}/{name}", "fmt": "json"}],
+    )
+    assert {name: df.count() for name, df in got.items()} == {"orders": 2, "products": 0, "customers": 0}
+    assert "join_date" in got["customers"].columns
+
+
 def test_table_existence(spark, orders, tmp_path):
     orders.write.parquet(f"{tmp_path}/good")
     orders.createOrReplaceTempView("shop_orders")
