@@ -17,29 +17,26 @@ def histogram(df: DataFrame, column: str = "total_amount", bins: int = 15) -> Da
     """
     require_columns(df, column)
     values = df.select(F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    bounds = values.agg(F.min("x").alias("low"), F.max("x").alias("high"))
-    flat = F.col("low") == F.col("high")
-    edges = bounds.select(
-        F.struct(
-            F.when(flat, F.col("low") - 0.5).otherwise(F.col("low")).alias("low"),
-            F.when(flat, F.col("high") + 0.5).otherwise(F.col("high")).alias("high"),
-        ).alias("edges")
-    ).scalar()
-    low, width = edges["low"], (edges["high"] - edges["low"]) / F.lit(bins)
-    position = F.floor((F.col("x") - low) / width)
+    low, high = F.min("x"), F.max("x")
+    margin = F.when(low == high, 0.5).otherwise(0.0)
+    bounds = values.agg(
+        (low - margin).alias("low"), ((high - low + margin * 2) / F.lit(bins)).alias("width")
+    ).filter(F.col("low").isNotNull())
+    edges = bounds.select(F.struct("low", "width")).scalar()
+    position = F.floor((F.col("x") - edges["low"]) / edges["width"])
     counted = values.groupBy(F.least(position, F.lit(bins - 1).cast("bigint")).alias("bin")).agg(
         F.count("*").alias("n")
     )
-    all_bins = df.sparkSession.range(bins).select(F.col("id").alias("bin"))
+    every_bin = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint")))
+    # One row per bin on either side.
     return (
-        all_bins.join(F.broadcast(counted), "bin", "left")
-        .withColumn("low", low + F.col("bin") * width)
-        .filter(F.col("low").isNotNull())
+        bounds.select(every_bin.alias("bin"), "low", "width")
+        .join(F.broadcast(counted), "bin", "left")
         .select(
             "bin",
-            "low",
-            (low + (F.col("bin") + 1) * width).alias("high"),
-            F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
+            (F.col("low") + F.col("bin") * F.col("width")).alias("low"),
+            (F.col("low") + (F.col("bin") + 1) * F.col("width")).alias("high"),
+            F.coalesce("n", F.lit(0)).alias("n"),
         )
     )
 

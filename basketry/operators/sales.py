@@ -86,11 +86,13 @@ def order_day_window(orders: DataFrame) -> DataFrame:
 def monthly_sales(orders: DataFrame) -> DataFrame:
     """Total, count and mean amount per ``yyyy-MM``."""
     require_columns(orders, "date", "total_amount")
-    return orders.groupBy(month_key("date").alias("year_month")).agg(
+    # Months are grouped as dates; only the groups are formatted.
+    grouped = orders.groupBy(F.trunc(to_day("date"), "month").alias("year_month")).agg(
         F.coalesce(exact_sum("total_amount"), F.lit(0.0)).alias("total_sales"),
         F.count("*").alias("order_count"),
         exact_avg("total_amount").alias("avg_sale"),
     )
+    return grouped.withColumn("year_month", month_key("year_month"))
 
 
 def monthly_first(monthly: DataFrame, n: int = 12, latest: bool = False) -> DataFrame:
@@ -108,9 +110,10 @@ def daily_history(orders: DataFrame, days: int = 30, as_of: AsOf = None) -> Data
     """Daily sales since ``as_of`` minus ``days``."""
     require_columns(orders, "date", "total_amount")
     recent = orders.filter(since_days("date", days, as_of))
-    return recent.groupBy(F.date_format("date", "yyyy-MM-dd").alias("day")).agg(
+    grouped = recent.groupBy(to_day("date").alias("day")).agg(
         F.coalesce(exact_sum("total_amount"), F.lit(0.0)).alias("daily_sales")
     )
+    return grouped.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
 def daily_history_mean(history: DataFrame) -> DataFrame:
