@@ -11,11 +11,12 @@ from basketry.operators.skew import HOT_ROWS, SALT, find_hot_keys, skew_join
 MAX_ITEMS = 10_000
 
 
-def item_lines(lines: DataFrame, products: DataFrame) -> DataFrame:
+def item_lines(lines: DataFrame, products: DataFrame, keys_from: DataFrame | None = None) -> DataFrame:
     """Each order line with the name and price of its product."""
     require_columns(lines, "order_id", "product_id", "quantity")
     lookup = products.select("product_id", "name", "price")
-    return skew_join(lines, lookup, "product_id").select("order_id", "product_id", "name", "price", "quantity")
+    joined = skew_join(lines, lookup, "product_id", keys_from=keys_from)
+    return joined.select("order_id", "product_id", "name", "price", "quantity")
 
 
 def lines_of(lines: DataFrame, orders: DataFrame) -> DataFrame:
@@ -29,16 +30,19 @@ def order_documents(
     products: DataFrame,
     max_items: int = MAX_ITEMS,
     min_hot_rows: int = HOT_ROWS,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """One document per order with its items as an ordered array and their total.
 
     An order of more than ``max_items`` lines continues in further documents
     with the same ``order_id`` and another ``part``, so no array and no task
     grows with the size of one order; ``items_total`` is the total of the items
-    in the document. An order without lines keeps an empty array.
+    in the document. An order without lines keeps an empty array. When ``lines``
+    are the result of a join, ``keys_from`` names the table to look for hot
+    orders and products in.
     """
-    hot = find_hot_keys(lines, "order_id", min_hot_rows)
-    items = item_lines(lines, products)
+    hot = find_hot_keys(lines if keys_from is None else keys_from, "order_id", min_hot_rows)
+    items = item_lines(lines, products, keys_from)
     if hot:
         keys, items, orders = ["order_id", SALT], hot.spread(items), hot.replicate(orders)
         salt = F.col(SALT)
@@ -56,8 +60,8 @@ def order_documents(
         )
     )
     joined = orders.join(nested, keys, "left")
-    # A hot order has lines; a salt that received none of them is not a document.
-    kept = joined.filter(F.col("items").isNotNull() | ~hot.contains()) if hot else joined
+    # Salts that received no line are no documents; the first stays, so no order is lost.
+    kept = joined.filter(F.col("items").isNotNull() | (salt == 0))
     no_items = F.array().cast(nested.schema["items"].dataType)
     return kept.select(
         "order_id",

@@ -100,15 +100,18 @@ def skew_join(
     key: str,
     how: str = "left",
     min_rows: int = HOT_ROWS,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join row-level ``facts`` with a ``lookup`` (how: left, inner, left_semi, left_anti).
 
     A lookup under the broadcast threshold is joined without any shuffle of the
-    facts. Otherwise the facts are examined for hot keys, and those are salted.
+    facts. Otherwise hot keys are looked for and salted: among the facts, or in
+    ``keys_from``, the table the facts were derived from, where reading the key
+    column costs no join.
     """
     if auto_broadcast(lookup):
         return facts.join(lookup, key, how)
-    hot = find_hot_keys(facts, key, min_rows)
+    hot = find_hot_keys(facts if keys_from is None else keys_from, key, min_rows)
     if not hot:
         return facts.join(lookup, key, how)
     return hot.spread(facts).join(hot.replicate(lookup), [key, SALT], how).drop(SALT)

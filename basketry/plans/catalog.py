@@ -382,7 +382,7 @@ def order_documents_json(d: Dataset) -> DataFrame:
 
 @query
 def exploded_items(d: Dataset) -> DataFrame:
-    nested = documents.order_documents(delivered(d), delivered_lines(d), d.products)
+    nested = documents.order_documents(delivered(d), delivered_lines(d), d.products, keys_from=d.lines)
     return documents.explode_items(nested).select("order_id", "product_id", "name", "price", "quantity")
 
 

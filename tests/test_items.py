@@ -115,6 +115,14 @@ def test_hot_order_is_spread(flat, catalogue):
     assert len(parts) > 4 and max(p.n for p in parts) < total / 2
 
 
+def test_hot_order_without_lines_of_its_own_is_kept(flat, catalogue):
+    orders, lines = flat
+    some = lines.filter("order_id <> 'o0'")
+    docs = documents.order_documents(orders, some, catalogue, min_hot_rows=50, keys_from=lines)
+    assert docs.select("order_id").distinct().count() == 40
+    assert [r["items"] for r in docs.filter("order_id = 'o0'").collect()] == [[]]
+
+
 def test_items_are_ordered_and_totalled(spark, catalogue):
     orders = spark.createDataFrame([("o1",)], "order_id string")
     lines = spark.createDataFrame(
