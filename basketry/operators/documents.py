@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from basketry.functions.columns import require_columns
 from basketry.functions.money import exact_sum
+from basketry.operators.products import product_lookup
 from basketry.operators.skew import HOT_ROWS, SALT, find_hot_keys, skew_join
 
 MAX_ITEMS = 10_000
@@ -14,8 +15,7 @@ MAX_ITEMS = 10_000
 def item_lines(lines: DataFrame, products: DataFrame, keys_from: DataFrame | None = None) -> DataFrame:
     """Each order line with the name and price of its product."""
     require_columns(lines, "order_id", "product_id", "quantity")
-    lookup = products.select("product_id", "name", "price")
-    joined = skew_join(lines, lookup, "product_id", keys_from=keys_from)
+    joined = skew_join(lines, product_lookup(products), "product_id", keys_from=keys_from)
     return joined.select("order_id", "product_id", "name", "price", "quantity")
 
 

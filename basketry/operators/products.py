@@ -17,6 +17,16 @@ def _lines(items: DataFrame) -> str:
     return "n_lines" if has_columns(items, "n_lines") else "1"
 
 
+def product_lookup(products: DataFrame) -> DataFrame:
+    """Name and price of each product id, one row per id even if it was loaded twice."""
+    require_columns(products, "product_id", "name", "price")
+    return (
+        products.groupBy("product_id")
+        .agg(F.min(F.struct("name", "price")).alias("product"))
+        .select("product_id", "product.name", "product.price")
+    )
+
+
 def product_item_facts(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Sold quantity and line count per product, with the product's name and price.
 
@@ -26,7 +36,7 @@ def product_item_facts(lines: DataFrame, products: DataFrame) -> DataFrame:
     per_product = lines.groupBy("product_id").agg(
         F.count("*").alias("n_lines"), F.sum("quantity").alias("quantity")
     )
-    return per_product.join(products.select("product_id", "name", "price"), "product_id", "left")
+    return per_product.join(product_lookup(products), "product_id", "left")
 
 
 def product_sales(items: DataFrame) -> DataFrame:

@@ -65,6 +65,13 @@ def test_preaggregated_facts_give_the_same_ranking(spark, catalogue):
     assert rows_of(prod.product_revenue(facts)) == rows_of(prod.product_revenue(flat))
 
 
+def test_a_product_loaded_twice_does_not_repeat_lines(spark, catalogue):
+    lines = spark.createDataFrame([("o1", "P1", 2), ("o1", "P2", 1)], "order_id string, product_id string, quantity bigint")
+    twice = catalogue.unionByName(catalogue)
+    assert rows_of(documents.item_lines(lines, twice)) == rows_of(documents.item_lines(lines, catalogue))
+    assert rows_of(prod.product_item_facts(lines, twice)) == rows_of(prod.product_item_facts(lines, catalogue))
+
+
 def test_catalogue_listings(catalogue):
     assert prod.product_catalog(catalogue, 2).count() == 2
     assert rows_of(prod.category_distribution(catalogue)) == [(None, 1), ("tv", 2)]
