@@ -6,8 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Weekday names, Sunday first (Spark's dayofweek = 1).
-FRENCH_WEEKDAYS = ("Dimanche", "Lundi", "Mardi", "Mercredi", "Jeudi", "Vendredi", "Samedi")
+from basketry.constants import FRENCH_WEEKDAYS
 
 AsOf = Column | dt.date | dt.datetime | None
 

@@ -12,12 +12,9 @@ from operator import or_
 
 from pyspark.sql import Column, functions as F
 
+from basketry.constants import DELIVERED_PATTERNS, DELIVERED_VALUE
 from basketry.functions.calendar import AsOf, as_of_column
 
-# Status spellings that count as delivered.
-DELIVERED_PATTERNS = ("%livr%", "%Livr%", "%delivered%", "%Delivered%")
-DELIVERED_VALUE = "livré"
-
 
 def delivered_like(status: str = "status", patterns: tuple[str, ...] = DELIVERED_PATTERNS) -> Column:
     """Any of the LIKE patterns; ``%x%`` reaches the parquet scan as a pushed filter."""

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from basketry.constants import CLIENT_PREFIX, LOWEST_SEGMENT, SEGMENTS
 from basketry.functions.calendar import to_day
 from basketry.functions.columns import has_columns, require_columns
 from basketry.functions.money import exact_avg, exact_sum, wide_avg
-
-# Spend thresholds, highest first, and the label below all of them.
-SEGMENTS = ((1000, "VIP"), (500, "Fidèle"), (100, "Actif"))
-LOWEST_SEGMENT = "Occasionnel"
+from basketry.operators.lookup import attach_record
 
 
 def segment_label(spend: str, segments=SEGMENTS, lowest: str = LOWEST_SEGMENT) -> Column:
@@ -71,34 +69,24 @@ def customer_spend(orders: DataFrame) -> DataFrame:
     )
 
 
-def _with_customer(top: DataFrame, customers: DataFrame, *fields: str) -> DataFrame:
-    """Attach one customer record to each of the few ranked rows.
-
-    The ranking has n rows at most, so it is held as one array in a scalar
-    subquery: evaluated once, it both yields the rows and filters the customers
-    while they are scanned. What is left of them is reduced to one record per
-    id, as a re-run of the loader may have inserted an id twice.
-    """
-    ranked = top.agg(F.collect_list(F.struct(*top.columns))).scalar()
-    found = (
-        customers.filter(F.array_contains(ranked["customer_id"], F.col("customer_id")))
-        .groupBy("customer_id")
-        .agg(F.min(F.when(F.col("name").isNotNull(), F.struct(*fields))).alias("customer"))
-    )
-    rows = customers.sparkSession.range(1).select(F.inline(ranked))
-    return rows.join(F.broadcast(found), "customer_id", "left")
+def _customer(*fields: str) -> Column:
+    return F.when(F.col("name").isNotNull(), F.struct(*fields))
 
 
 def _fallback_name() -> Column:
-    return F.concat(F.lit("Client "), F.right(F.col("customer_id").cast("string"), F.lit(4)))
+    return F.concat(F.lit(CLIENT_PREFIX), F.right(F.col("customer_id").cast("string"), F.lit(4)))
+
+
+def top_spenders(orders: DataFrame, n: int = 5) -> DataFrame:
+    return customer_spend(orders).orderBy(F.desc("total_spent"), F.asc("customer_id")).limit(n)
 
 
 def top_customers(orders: DataFrame, customers: DataFrame, n: int = 5) -> DataFrame:
     """Highest spenders with their name; unknown ids show their last four characters."""
-    top = customer_spend(orders).orderBy(F.desc("total_spent"), F.asc("customer_id")).limit(n)
-    return _with_customer(top, customers, "name").select(
+    named = attach_record(top_spenders(orders, n), customers, "customer_id", _customer("name"))
+    return named.select(
         "customer_id",
-        F.coalesce("customer.name", _fallback_name()).alias("client_name"),
+        F.coalesce("record.name", _fallback_name()).alias("client_name"),
         "total_spent",
         "order_count",
         "avg_order",
@@ -107,15 +95,14 @@ def top_customers(orders: DataFrame, customers: DataFrame, n: int = 5) -> DataFr
 
 def top_customer_labels(orders: DataFrame, customers: DataFrame, n: int = 5) -> DataFrame:
     """Short chart label per top customer: ``name (loc)`` cut to twelve characters."""
-    top = customer_spend(orders).orderBy(F.desc("total_spent"), F.asc("customer_id")).limit(n)
-    name = F.col("customer.name")
+    name = F.col("record.name")
     if has_columns(customers, "location"):
-        fields = ("name", "location")
-        place = F.substring("customer.location", 1, 3)
+        record = _customer("name", "location")
+        place = F.substring("record.location", 1, 3)
         full = F.coalesce(F.concat(F.substring(name, 1, 10), F.lit(" ("), place, F.lit(")")), name)
     else:
-        fields, full = ("name",), name
-    return _with_customer(top, customers, *fields).select(
+        record, full = _customer("name"), name
+    return attach_record(top_spenders(orders, n), customers, "customer_id", record).select(
         "customer_id",
         F.coalesce(F.substring(full, 1, 12), _fallback_name()).alias("label"),
         "total_spent",

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from basketry.constants import UNKNOWN
 from basketry.functions.columns import require_columns
 from basketry.functions.money import exact_sum
+from basketry.operators.lookup import attach_record
 from basketry.operators.products import product_lookup
 from basketry.operators.skew import HOT_ROWS, SALT, find_hot_keys, skew_join
 
@@ -48,7 +50,8 @@ def order_documents(
         salt = F.col(SALT)
     else:
         keys, salt = ["order_id"], F.lit(0)
-    in_order = Window.partitionBy(*keys).orderBy("product_id", "name", "price", "quantity")
+    # Name and price follow from the product, so this is the order of the whole item.
+    in_order = Window.partitionBy(*keys).orderBy("product_id", "quantity")
     item = F.struct("product_id", "name", "price", "quantity")
     # The grouping keys extend the window's keys, so this adds no shuffle.
     nested = (
@@ -113,7 +116,7 @@ def document_item_preview(documents: DataFrame, n_orders: int = 3, per_order: in
 
 
 def _short_name(column: str) -> Column:
-    return F.substring(F.coalesce(column, F.lit("Inconnu")), 1, 30).alias("name")
+    return F.substring(F.coalesce(column, F.lit(UNKNOWN)), 1, 30).alias("name")
 
 
 def order_item_preview(
@@ -121,23 +124,18 @@ def order_item_preview(
 ) -> DataFrame:
     """The first items of the first orders, names cut to thirty characters.
 
-    The orders are cut to ``n_orders`` first, so the broadcast is of that size,
-    and the row-number filter prunes inside each task before the shuffle.
+    The orders are cut to ``n_orders`` first, so the broadcast is of that size;
+    the row-number filter prunes inside each task before the shuffle; products
+    are looked up for the remaining ``n_orders * per_order`` rows only.
     """
     first = orders.select("order_id").orderBy("order_id").limit(n_orders)
-    theirs = lines.join(F.broadcast(first), "order_id", "left_semi")
-    items = item_lines(theirs, products)
-    nth = F.row_number().over(
-        Window.partitionBy("order_id").orderBy("product_id", "name", "price", "quantity")
-    )
-    return (
-        items.withColumn("position", nth)
+    nth = F.row_number().over(Window.partitionBy("order_id").orderBy("product_id", "quantity"))
+    shown = (
+        lines.join(F.broadcast(first), "order_id", "left_semi")
+        .withColumn("position", nth)
         .filter(F.col("position") <= per_order)
-        .select(
-            "order_id",
-            "position",
-            _short_name("name"),
-            "quantity",
-            "price",
-        )
+        .select("order_id", "position", "product_id", "quantity")
+    )
+    return attach_record(shown, products, "product_id", F.struct("name", "price")).select(
+        "order_id", "position", _short_name("record.name"), "quantity", F.col("record.price").alias("price")
     )

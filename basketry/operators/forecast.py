@@ -13,18 +13,25 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from basketry.constants import (
+    ARROW_DOWN,
+    ARROW_UP,
+    FEATURES,
+    L1_RATIO,
+    MAX_ITER,
+    MIN_DELIVERED,
+    MIN_TRAINING_ROWS,
+    MODEL_NAME,
+    PREDICTION_PREFIX,
+    REG_PARAM,
+    TREND_DOWN,
+    TREND_UP,
+)
 from basketry.functions.calendar import AsOf, as_of_column, to_day, weekday_name
 from basketry.functions.columns import require_columns
 from basketry.functions.money import exact_avg, exact_sum, wide_avg
 from basketry.functions.predicates import delivered_contains
 
-# Feature order, model name and regression settings.
-FEATURES = ("day", "weekday", "month")
-MODEL_NAME = "LinearRegression"
-MAX_ITER, REG_PARAM, L1_RATIO = 100, 0.01, 0.8
-MIN_TRAINING_ROWS = 3
-MIN_DELIVERED = 5
-
 
 def training_rows(orders: DataFrame, delivered: Column | None = None, min_rows: int = MIN_DELIVERED) -> DataFrame:
     """Delivered orders, or all orders when fewer than ``min_rows`` are delivered.
@@ -122,7 +129,7 @@ def future_calendar(spark: SparkSession, as_of: AsOf = None, days: int = 7) -> D
     dates = F.sequence(F.date_add(today, 1), F.date_add(today, days))
     day = F.col("predicted_date")
     return spark.range(1).select(F.explode(dates).alias("predicted_date")).select(
-        F.concat(F.lit("PRED-"), F.date_format(day, "yyyyMMdd")).alias("prediction_id"),
+        F.concat(F.lit(PREDICTION_PREFIX), F.date_format(day, "yyyyMMdd")).alias("prediction_id"),
         "predicted_date",
         *calendar_columns(day),
         weekday_name(day).alias("weekday_name"),
@@ -206,7 +213,7 @@ def forecast_trend(summary: DataFrame, delivered_orders: DataFrame) -> DataFrame
             "avg_predicted",
             "historical_avg",
             F.abs(change).alias("diff_pct"),
-            F.when(change > 0, "HAUSSE").otherwise("BAISSE").alias("trend"),
+            F.when(change > 0, TREND_UP).otherwise(TREND_DOWN).alias("trend"),
         )
     )
 
@@ -223,6 +230,6 @@ def forecast_vs_history(predictions: DataFrame, history: DataFrame) -> DataFrame
             "hist_avg",
             "pred_avg",
             F.when(F.col("hist_avg") > 0, F.abs(change)).alias("diff_pct"),
-            F.when(F.col("hist_avg") > 0, F.when(change > 0, "↗").otherwise("↘")).alias("direction"),
+            F.when(F.col("hist_avg") > 0, F.when(change > 0, ARROW_UP).otherwise(ARROW_DOWN)).alias("direction"),
         )
     )

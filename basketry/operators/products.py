@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from basketry.constants import UNKNOWN
 from basketry.functions.columns import has_columns, require_columns
 from basketry.functions.money import exact_avg, exact_sum, wide_sum
 
@@ -65,7 +66,7 @@ def product_revenue(items: DataFrame) -> DataFrame:
     )
 
 
-def top_products_by_revenue(items: DataFrame, n: int = 5, unknown: str = "Inconnu") -> DataFrame:
+def top_products_by_revenue(items: DataFrame, n: int = 5, unknown: str = UNKNOWN) -> DataFrame:
     top = product_revenue(items).orderBy(F.desc("total_revenue"), F.asc("product_id"), F.asc("name")).limit(n)
     return top.withColumn("name", F.coalesce("name", F.lit(unknown)))
 

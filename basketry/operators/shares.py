@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from basketry.constants import UNKNOWN, UNKNOWN_PAYMENT
 from basketry.functions.columns import label_or, require_columns
 from basketry.functions.money import exact_avg, exact_sum, percent, percent_rounded
 
@@ -39,7 +40,7 @@ def status_distribution(orders: DataFrame) -> DataFrame:
     )
 
 
-def status_counts(orders: DataFrame, unknown: str = "Inconnu") -> DataFrame:
+def status_counts(orders: DataFrame, unknown: str = UNKNOWN) -> DataFrame:
     """Count and share per status; null and empty statuses are labelled."""
     require_columns(orders, "status")
     grouped = orders.groupBy("status").agg(F.count("*").alias("n"))
@@ -81,7 +82,7 @@ def payment_distribution(orders: DataFrame) -> DataFrame:
     )
 
 
-def payment_totals(orders: DataFrame, unknown: str = "Non spécifié") -> DataFrame:
+def payment_totals(orders: DataFrame, unknown: str = UNKNOWN_PAYMENT) -> DataFrame:
     """Count, total, mean and share per method, amounts of unnamed methods included."""
     require_columns(orders, "payment_method", "total_amount")
     grouped = orders.groupBy("payment_method").agg(

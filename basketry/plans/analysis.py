@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from basketry.constants import OTHER_PAYMENT, SEGMENTS, STORED_ROWS
 from basketry.functions.calendar import AsOf, add_calendar
 from basketry.functions.columns import has_columns
 from basketry.functions.predicates import delivered_contains, delivered_like, delivered_regex
@@ -24,8 +25,6 @@ from basketry.operators import (
     shares,
 )
 
-STORED_ROWS = 100
-
 
 def clean_orders(orders: DataFrame, delivered: Column | None = None, as_of: AsOf = None) -> DataFrame:
     """Delivered orders with calendar columns; orders without a status are all kept.
@@ -43,7 +42,7 @@ def run_all(
     products: DataFrame,
     customers: DataFrame,
     delivered: Column | None = None,
-    segments=cust.SEGMENTS,
+    segments=SEGMENTS,
     as_of: AsOf = None,
 ) -> dict[str, DataFrame]:
     """The batch analysis: the four stored results, their rankings and the reports.
@@ -145,7 +144,7 @@ def dashboard(
         "top_customers": cust.top_customers(done, customers),
         "top_customer_labels": cust.top_customer_labels(done, customers),
         "payments": shares.payment_totals(orders),
-        "payments_chart": shares.payment_totals(orders, unknown="Autre"),
+        "payments_chart": shares.payment_totals(orders, unknown=OTHER_PAYMENT),
         "months": sales.monthly_first(monthly),
         "months_shown": sales.monthly_display(monthly),
         "amount_histogram": distribution.histogram(done),

@@ -11,6 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
 
+from basketry.constants import RESULT_PREFIX
 from basketry.sources.readers import READ_ERRORS
 
 log = logging.getLogger(__name__)
@@ -41,7 +42,7 @@ def save_results(
     results: Mapping[str, DataFrame | None],
     target: Target,
     alternative: Target | None = None,
-    prefix: str = "analysis_",
+    prefix: str = RESULT_PREFIX,
 ) -> dict[str, str]:
     """Save each non-empty result as ``<prefix><name>``; one failure stops only itself.
 

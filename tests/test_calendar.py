@@ -2,7 +2,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-from basketry.functions.calendar import FRENCH_WEEKDAYS, add_calendar, latest, to_day, weekday_name
+from basketry.constants import FRENCH_WEEKDAYS
+from basketry.functions.calendar import add_calendar, latest, to_day, weekday_name
 from basketry.operators.forecast import future_calendar
 from conftest import rows_of
 
