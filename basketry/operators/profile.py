@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+from basketry.functions.calendar import to_day
 from basketry.functions.columns import MissingColumns, require_columns
 
 
@@ -66,6 +67,13 @@ def missing_values(df: DataFrame) -> DataFrame:
     )
 
 
+def date_rejects(df: DataFrame, column: str) -> DataFrame:
+    """How many non-null values of a text column are not dates, and so count as missing days."""
+    require_columns(df, column)
+    rejected = F.col(column).isNotNull() & to_day(column).isNull()
+    return df.agg(F.count_if(rejected).alias("n_rejected"))
+
+
 def _searchable(df: DataFrame, field: str) -> Column:
     if field not in df.columns:
         raise MissingColumns(f"no field {field!r}; available columns: {df.columns}")

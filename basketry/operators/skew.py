@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import AtomicType
 
 SALT = "_salt"
 
@@ -53,7 +54,8 @@ class HotKeys:
         routes its rows exactly as the lost one did, and copies of one row in
         different partitions part ways.
         """
-        anywhere = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id()), F.lit(self.salts))
+        plain = [F.col(f.name) for f in df.schema if isinstance(f.dataType, AtomicType)]
+        anywhere = F.pmod(F.xxhash64(*plain, F.spark_partition_id()), F.lit(self.salts))
         salted = self.contains() | F.col(self.key).isNull()
         return df.withColumn(SALT, F.when(salted, anywhere.cast("int")).otherwise(F.lit(0)))
 

@@ -9,7 +9,7 @@ from typing import Any
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
+from pyspark.sql.types import ArrayType, DateType, MapType, StructType, TimestampNTZType, TimestampType
 
 from basketry.constants import RESULT_PREFIX
 from basketry.sources.readers import READ_ERRORS
@@ -26,6 +26,8 @@ class Target:
     options: Mapping[str, Any] | None = None
 
     def write(self, df: DataFrame, name: str) -> None:
+        if self.fmt == "csv":
+            df = flat_ready(df)
         writer = df.write.format(self.fmt).mode("overwrite").options(**(self.options or {}))
         if self.base is None:
             writer.option("collection", name).save()
@@ -82,6 +84,14 @@ def _save_one(df: DataFrame, table: str, target: Target, alternative: Target | N
         return f"failed: {str(error).splitlines()[0]}"
 
 
+def flat_ready(df: DataFrame) -> DataFrame:
+    """Nested columns as JSON text, for formats that hold flat columns only."""
+    nested = (ArrayType, MapType, StructType)
+    return df.select(
+        [F.to_json(f.name).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name) for f in df.schema]
+    )
+
+
 def json_ready(df: DataFrame) -> DataFrame:
     """Dates, timestamps and a store's own ``_id`` as plain strings."""
 

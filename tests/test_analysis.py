@@ -9,7 +9,8 @@ import pytest
 from basketry import schemas
 from basketry.plans import analysis
 from basketry.plans.catalog import QUERIES
-from basketry.sources.writers import Target, save_results
+from basketry.sources.readers import load_table
+from basketry.sources.writers import Target, replace_table, save_results
 from conftest import one, rows_of
 
 AS_OF = dt.datetime(2024, 3, 1)
@@ -83,6 +84,31 @@ def test_dashboards(shop):
     assert quick["next_predictions"].count() == 5 and one(quick["kpis"])["total_orders"] == 30
 
 
+@pytest.mark.parametrize("fmt, options", [("parquet", {}), ("json", {})])
+def test_stored_forecast_is_read_back(shop, spark, tmp_path, fmt, options):
+    made = analysis.run_forecast(shop[0], 7, AS_OF)
+    replace_table(made, "predictions", Target(str(tmp_path), fmt, options))
+    stored = load_table(spark, f"{tmp_path}/predictions", fmt, schemas.PREDICTIONS)
+    assert rows_of(stored) == rows_of(made)
+    assert rows_of(analysis.quick_dashboard(shop[0], stored)["next_predictions"])[0][1] == dt.date(2024, 3, 2)
+
+
+def test_forecast_as_csv(shop, spark, tmp_path):
+    made = analysis.run_forecast(shop[0], 3, AS_OF)
+    replace_table(made, "predictions", Target(str(tmp_path), "csv", {"header": True}))
+    stored = spark.read.csv(f"{tmp_path}/predictions", header=True)
+    assert stored.count() == 3
+    assert {r.features_used for r in stored.collect()} == {'["day","weekday","month"]'}
+
+
+def test_daily_grain_forecast_is_a_daily_total(shop):
+    orders = shop[0]
+    twice = orders.unionByName(orders)
+    one_order = analysis.run_forecast(twice, 1, AS_OF).first().predicted_sales
+    one_day = analysis.run_forecast(twice, 1, AS_OF, grain="day").first().predicted_sales
+    assert one_day == pytest.approx(2 * one_order, rel=1e-2)
+
+
 def physical(spark, sf_dir, key):
     return QUERIES[key](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
 

@@ -45,6 +45,11 @@ def test_preview_and_period(table):
     assert one(profile.period(table, "at")) == {"first": day, "last": day}
 
 
+def test_date_rejects(spark):
+    df = spark.createDataFrame([("2024-01-01",), ("yesterday",), (None,)], "date string")
+    assert one(profile.date_rejects(df, "date")) == {"n_rejected": 1}
+
+
 def test_search(table):
     assert rows_of(profile.search(table, "id", "a").select("id")) == [("a",)]
     assert rows_of(profile.search(table, "n", "0").select("id")) == [("a",), ("c",)]
