@@ -48,6 +48,18 @@ def daily_stats(daily: DataFrame) -> DataFrame:
     )
 
 
+def on_edge_days(orders: DataFrame, n: int = 5, latest: bool = False) -> DataFrame:
+    """The orders of the first (or latest) ``n`` days, and those without a date.
+
+    Finding these days groups the date column only. Sales of those days then
+    shuffle the customers of few orders instead of all.
+    """
+    day = to_day("date")
+    days = orders.select(day.alias("d")).distinct().orderBy(F.desc("d") if latest else F.asc("d")).limit(n)
+    bound = days.agg(F.min("d") if latest else F.max("d")).scalar()
+    return orders.filter((day >= bound if latest else day <= bound) | day.isNull())
+
+
 def first_days(daily: DataFrame, n: int = 5) -> DataFrame:
     return daily.orderBy(F.asc("date_jour")).limit(n)
 

@@ -58,7 +58,7 @@ def run_all(
         out |= {
             "daily_sales": daily,
             "daily_stats": sales.daily_stats(daily),
-            "first_days": sales.first_days(daily),
+            "first_days": sales.first_days(sales.daily_sales(sales.on_edge_days(cleaned))),
             "best_days": sales.best_days(daily),
         }
         behavior = cust.customer_behavior(cleaned)

@@ -206,12 +206,12 @@ def daily_stats(d: Dataset) -> DataFrame:
 
 @query
 def first_days(d: Dataset) -> DataFrame:
-    return sales.first_days(sales.daily_sales(delivered(d)))
+    return sales.first_days(sales.daily_sales(sales.on_edge_days(delivered(d))))
 
 
 @query
 def last_days(d: Dataset) -> DataFrame:
-    return sales.last_days(sales.daily_sales(delivered(d)))
+    return sales.last_days(sales.daily_sales(sales.on_edge_days(delivered(d), latest=True)))
 
 
 @query

@@ -96,6 +96,16 @@ def test_best_days_ties_go_to_the_earlier_day(done):
     assert [r.date_jour.day for r in best] == [1, 2]
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 10])
+def test_edge_days_equal_the_full_ranking(done, n):
+    undated = done.withColumn("date", F.lit(None).cast("timestamp"))
+    for df in (done, done.filter("date is not null"), undated, done.limit(0)):
+        daily = sales.daily_sales(df)
+        assert sales.first_days(sales.daily_sales(sales.on_edge_days(df, n)), n).collect() == sales.first_days(daily, n).collect()
+        latest = sales.daily_sales(sales.on_edge_days(df, n, latest=True))
+        assert sales.last_days(latest, n).collect() == sales.last_days(daily, n).collect()
+
+
 def test_without_amounts_only_counts(done):
     daily = sales.daily_sales(done.drop("total_amount"))
     assert daily.columns == ["date_jour", "nb_commandes", "clients_uniques"]
