@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from basketry.llm.balance import op10_sharding
+from basketry.llm.simhash import op2_simhash
 from basketry.llm.token_counts import op8_token_counts
 from basketry.llm.token_files import op1_token_files
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_simhash": op2_simhash,
     "op8_token_counts": op8_token_counts,
+    "op10_sharding": op10_sharding,
 }
 ORACLE: dict[str, str] = {}

@@ -9,15 +9,16 @@ worker keeps the ids of pieces it has seen (a bounded cache) and the tokenizer s
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are looked up at a time; keeps the working arrays of a task small.
-SPAN_BYTES = 16 << 20
+SPAN_BYTES = 8 << 20
 #: Distinct pieces a worker keeps.
-CACHE_PIECES = 1_500_000
+CACHE_PIECES = 700_000
 #: Pieces that go to the tokenizer as one text.
 JOINED = 1_000
 #: Longer pieces are encoded but not kept.
@@ -60,6 +61,17 @@ def piece_starts(data: np.ndarray, borders: np.ndarray, cut: bool = True) -> tup
     return at, opens[at]
 
 
+def balanced(batches: Iterator[pa.RecordBatch], column: int, most: int = SPAN_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in batches of about ``most`` bytes of text; a longer text is alone in its batch."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends, at = np.cumsum(size), 0
+        while at < len(size):
+            upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
+            yield batch.slice(at, upto - at)
+            at = upto
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indexes start, start + 1, ... of every (start, length), one after another."""
     total = int(lengths.sum())
@@ -168,9 +180,16 @@ class PieceEncoder:
         return np.diff(before[np.searchsorted(starts, borders)]), np.concatenate(ids) if with_ids else None
 
 
+@lru_cache(2)
 def json_encoder(path: str, cache: int = CACHE_PIECES) -> PieceEncoder:
-    """Encoder of a tokenizers file. Texts are cut only for the plain byte-level pre-tokenizer."""
+    """Encoder of a tokenizers file, kept by the Python worker from task to task.
+
+    Texts are cut only for the plain byte-level pre-tokenizer.
+    """
     import json
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
 
     from tokenizers import Tokenizer
 

@@ -12,7 +12,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketry.llm.pieces import PieceEncoder, json_encoder
+from basketry.llm.pieces import PieceEncoder, balanced, json_encoder
 
 
 def model_counter(path: str) -> PieceEncoder:
@@ -36,7 +36,7 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = json_encoder(path) if path.endswith(".json") else model_counter(path)
-        for batch in batches:
+        for batch in balanced(batches, 1):
             n, _ = encoder.tokens(batch.column(1), with_ids=False)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64())], ["id", "b", "n"])
 

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketry.llm.huffman import Codebook, code_lengths
-from basketry.llm.pieces import json_encoder
+from basketry.llm.pieces import balanced, json_encoder
 from basketry.llm.scratch import fresh_path, written
 
 #: Longest code in bits, tokens between marks, and tokens after which a block is closed.
@@ -41,7 +41,7 @@ def _staged(docs: DataFrame, path: str, end_id: int | None, id_col: str, text_co
         doc_ids: list = []
         counts: list[np.ndarray] = []
         ids: list[np.ndarray] = []
-        for batch in batches:
+        for batch in balanced(batches, 1):
             n, flat = encoder.tokens(batch.column(1))
             if end_id is not None:
                 n = n + 1
