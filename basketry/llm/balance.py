@@ -3,7 +3,8 @@
 Groups are dealt by hash into buckets of some thousands. In each bucket the two partial partitions of
 largest spread are combined again and again, one in descending and one in ascending order of its
 sums, until one is left. The buckets' partial partitions are combined in the same way, level by
-level, the last one on the driver over at most ``FAN`` rows.
+level, the last one on the driver over at most ``FAN`` rows and the groups above a fixed share of
+all bytes, which skip the buckets (``LARGE`` per shard at most).
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from basketry.llm.scratch import written
 #: Partial partitions combined in one task or on the driver.
 FAN = 4096
 GROUPS_PER_BUCKET = 16_384
+#: A group is large from this part of a shard's share on.
+LARGE = 64
 ROWS_PER_RANGE = 16_384
 
 
@@ -80,9 +83,11 @@ def shards_by_bytes(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id",
     groups = sized.groupBy("member").agg(F.sum("size").alias("bytes"))
     empty = F.array_repeat(F.lit(0).cast("long"), n_shards - 1)
     counted = written(groups, "groups")
-    n = counted.count()
+    n, total = counted.agg(F.count(F.lit(1)), F.sum("bytes")).first()
+    is_large = F.col("bytes") * (LARGE * n_shards) > F.lit(total)
+    large = counted.where(is_large).orderBy("member").collect()  # fewer than LARGE x n_shards
     nodes = max(1, -(-n // GROUPS_PER_BUCKET))
-    level = counted.select(F.pmod("member", F.lit(nodes)).alias("node"), "member", F.concat(F.array("bytes"), empty).alias("sums"))
+    level = counted.where(~is_large).select(F.pmod("member", F.lit(nodes)).alias("node"), "member", F.concat(F.array("bytes"), empty).alias("sums"))
     out = _combined(level, n_shards)
     placed = out.where("member is not null").select("member", "node", F.col("places")[0].alias("shard"))
     while nodes > FAN:
@@ -92,10 +97,13 @@ def shards_by_bytes(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id",
         placed = placed.join(up, "node").select("member", F.col("above").alias("node"), F.element_at("places", (F.col("shard") + 1).cast("int")).alias("shard"))
         nodes = -(-nodes // FAN)
     last = out.where("member is null").select("node", "places").orderBy("node").collect()  # at most FAN rows
-    top = differencing(np.array([r["places"] for r in last], np.int64))[1] if last else np.zeros((0, n_shards))
+    parts = [r["places"] for r in last] + [[r["bytes"]] + [0] * (n_shards - 1) for r in large]
+    top = differencing(np.array(parts, np.int64))[1] if parts else np.zeros((0, n_shards))
+    of_large = [(r["member"], int(p[0])) for r, p in zip(large, top[len(last) :])]
     of_top = [(int(r["node"]), j, int(top[i][j])) for i, r in enumerate(last) for j in range(n_shards)]
     final = docs.sparkSession.createDataFrame(of_top, "node long, shard long, final int")
     shard_of = placed.join(F.broadcast(final), ["node", "shard"]).select("member", F.col("final").alias("shard"))  # FAN x n_shards rows at most
+    shard_of = shard_of.union(docs.sparkSession.createDataFrame(of_large, "member long, shard int"))
     rows = sized.join(shard_of, "member").select("id", "size", "crc", "shard")
     ranges = max(1, -(-sized.count() // ROWS_PER_RANGE))
     rows = written(rows.withColumn("range", F.pmod(F.xxhash64("id", "crc"), F.lit(ranges))), "placed")
