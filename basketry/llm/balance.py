@@ -3,8 +3,11 @@
 Groups are dealt by hash into buckets of some thousands. In each bucket the two partial partitions of
 largest spread are combined again and again, one in descending and one in ascending order of its
 sums, until one is left. The buckets' partial partitions are combined in the same way, level by
-level, the last one on the driver over at most ``FAN`` rows and the groups above a fixed share of
-all bytes, which skip the buckets (``LARGE`` per shard at most).
+level, the last one on the driver over at most ``FAN`` rows.
+
+A group above a fixed part of a shard's share could outweigh its whole bucket. Such groups are few
+(``LARGE`` per shard at most); they are placed first, and every bucket starts from its proportion of
+their sums, so that all buckets together make up for them.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from basketry.llm.scratch import written
 #: Partial partitions combined in one task or on the driver.
 FAN = 4096
 GROUPS_PER_BUCKET = 16_384
-#: A group is large from this part of a shard's share on.
+#: Large groups hold more than a shard's share divided by this.
 LARGE = 64
 ROWS_PER_RANGE = 16_384
 
@@ -53,18 +56,45 @@ def differencing(parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(sums[-1], np.int64), np.array(places[:n], np.int32)
 
 
-def _combined(parts: DataFrame, k: int) -> DataFrame:
-    """parts: node, member, sums. Gives (node, member, places) rows, and one (node, null, sums) row per node."""
+def _combined(parts: DataFrame, k: int, base: list[int] | None = None, of: int = 1) -> DataFrame:
+    """parts: node, member, sums. Gives (node, member, places) rows, and one (node, null, sums) row per node.
+
+    ``base``: sums that stand already, of which a node takes its proportion of ``of`` bytes; the places
+    are then those of the base.
+    """
 
     def combine(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("member")
-        sums, places = differencing(np.stack(rows["sums"].to_numpy()))
+        sums = np.stack(rows["sums"].to_numpy())
+        if base is None:
+            total, places = differencing(sums)
+        else:
+            share = [b * int(sums.sum()) // of for b in base]
+            total, places = differencing(np.vstack([sums, share]))
+            places = np.argsort(places[-1])[places[:-1]]
         members = [*rows["member"].tolist(), None]
-        return pd.DataFrame({"node": key[0], "member": pd.array(members, "Int64"), "places": [*places.tolist(), sums.tolist()]})
+        return pd.DataFrame({"node": key[0], "member": pd.array(members, "Int64"), "places": [*places.tolist(), total.tolist()]})
 
     return written(parts.groupBy("node").applyInPandas(combine, "node long, member long, places array<long>"), "partial-partitions")
 
 
+def _by_levels(parts: DataFrame, nodes: int, k: int) -> DataFrame:
+    """(member, shard) of parts: node, member, sums."""
+    out = _combined(parts, k)
+    placed = out.where("member is not null").select("member", "node", F.col("places")[0].alias("shard"))
+    while nodes > FAN:
+        sums = out.where("member is null").select(F.col("node").alias("member"), F.col("places").alias("sums"))
+        out = _combined(sums.select(F.floor(F.col("member") / FAN).alias("node"), "member", "sums"), k)
+        up = out.where("member is not null").select(F.col("member").alias("node"), F.col("node").alias("above"), "places")
+        placed = placed.join(up, "node").select("member", F.col("above").alias("node"), F.element_at("places", (F.col("shard") + 1).cast("int")).alias("shard"))
+        nodes = -(-nodes // FAN)
+    last = out.where("member is null").select("node", "places").orderBy("node").collect()  # at most FAN rows
+    top = differencing(np.array([r["places"] for r in last], np.int64))[1] if last else np.zeros((0, k))
+    of_top = [(int(r["node"]), j, int(top[i][j])) for i, r in enumerate(last) for j in range(k)]
+    final = parts.sparkSession.createDataFrame(of_top, "node long, shard long, final int")
+    return placed.join(F.broadcast(final), ["node", "shard"]).select("member", F.col("final").alias("shard"))  # FAN x k rows at most
+
+
 def shards_by_bytes(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id, size (UTF-8 bytes + 1), text_crc32, shard, slot (gapless within its shard).
 
@@ -88,22 +118,14 @@ def shards_by_bytes(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id",
     large = counted.where(is_large).orderBy("member").collect()  # fewer than LARGE x n_shards
     nodes = max(1, -(-n // GROUPS_PER_BUCKET))
     level = counted.where(~is_large).select(F.pmod("member", F.lit(nodes)).alias("node"), "member", F.concat(F.array("bytes"), empty).alias("sums"))
-    out = _combined(level, n_shards)
-    placed = out.where("member is not null").select("member", "node", F.col("places")[0].alias("shard"))
-    while nodes > FAN:
-        parts = out.where("member is null").select(F.col("node").alias("member"), F.col("places").alias("sums"))
-        out = _combined(parts.select(F.floor(F.col("member") / FAN).alias("node"), "member", "sums"), n_shards)
-        up = out.where("member is not null").select(F.col("member").alias("node"), F.col("node").alias("above"), "places")
-        placed = placed.join(up, "node").select("member", F.col("above").alias("node"), F.element_at("places", (F.col("shard") + 1).cast("int")).alias("shard"))
-        nodes = -(-nodes // FAN)
-    last = out.where("member is null").select("node", "places").orderBy("node").collect()  # at most FAN rows
-    parts = [r["places"] for r in last] + [[r["bytes"]] + [0] * (n_shards - 1) for r in large]
-    top = differencing(np.array(parts, np.int64))[1] if parts else np.zeros((0, n_shards))
-    of_large = [(r["member"], int(p[0])) for r, p in zip(large, top[len(last) :])]
-    of_top = [(int(r["node"]), j, int(top[i][j])) for i, r in enumerate(last) for j in range(n_shards)]
-    final = docs.sparkSession.createDataFrame(of_top, "node long, shard long, final int")
-    shard_of = placed.join(F.broadcast(final), ["node", "shard"]).select("member", F.col("final").alias("shard"))  # FAN x n_shards rows at most
-    shard_of = shard_of.union(docs.sparkSession.createDataFrame(of_large, "member long, shard int"))
+    make = docs.sparkSession.createDataFrame
+    if large:
+        base, placed = differencing(np.array([[r["bytes"]] + [0] * (n_shards - 1) for r in large], np.int64))
+        out = _combined(level, n_shards, base.tolist(), max(1, total - sum(r["bytes"] for r in large)))
+        of_large = make([(r["member"], int(p[0])) for r, p in zip(large, placed)], "member long, shard int")
+        shard_of = out.where("member is not null").select("member", F.col("places")[0].cast("int").alias("shard")).union(of_large)
+    else:
+        shard_of = _by_levels(level, nodes, n_shards)
     rows = sized.join(shard_of, "member").select("id", "size", "crc", "shard")
     ranges = max(1, -(-sized.count() // ROWS_PER_RANGE))
     rows = written(rows.withColumn("range", F.pmod(F.xxhash64("id", "crc"), F.lit(ranges))), "placed")

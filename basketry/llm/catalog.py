@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from basketry.llm.balance import op10_sharding
+from basketry.llm.sentence_pieces import op4_sentence_pieces
 from basketry.llm.simhash import op2_simhash
 from basketry.llm.token_counts import op8_token_counts
 from basketry.llm.token_files import op1_token_files
@@ -10,6 +11,7 @@ from basketry.llm.token_files import op1_token_files
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_simhash": op2_simhash,
+    "op4_sentence_pieces": op4_sentence_pieces,
     "op8_token_counts": op8_token_counts,
     "op10_sharding": op10_sharding,
 }

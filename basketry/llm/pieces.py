@@ -16,9 +16,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are looked up at a time; keeps the working arrays of a task small.
-SPAN_BYTES = 8 << 20
+SPAN_BYTES = 4 << 20
 #: Distinct pieces a worker keeps.
-CACHE_PIECES = 700_000
+CACHE_PIECES = 500_000
 #: Pieces that go to the tokenizer as one text.
 JOINED = 1_000
 #: Longer pieces are encoded but not kept.
@@ -74,9 +74,12 @@ def balanced(batches: Iterator[pa.RecordBatch], column: int, most: int = SPAN_BY
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indexes start, start + 1, ... of every (start, length), one after another."""
-    total = int(lengths.sum())
     ends = np.cumsum(lengths)
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, int(starts.max(initial=0)) + total) < 2**31 else np.int64
+    out = np.repeat((starts - (ends - lengths)).astype(kind), lengths)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 class PieceEncoder:
@@ -85,10 +88,11 @@ class PieceEncoder:
     ``encode(texts, first)`` gives the ids of each text; ``first``: the texts are openings, not what
     follows a cut. ``widths`` (bytes of text behind each id) lets many pieces go to the tokenizer as
     one text, which is told apart again by the widths; that saves the cost of a call's result object.
+    Pieces that hold ``apart`` always go alone.
     """
 
-    def __init__(self, encode: Callable[[list[str], bool], list], cut: bool = True, widths: np.ndarray | None = None, cache: int = CACHE_PIECES):
-        self.encode, self.cut, self.widths, self.cache = encode, cut, widths, cache
+    def __init__(self, encode: Callable[[list[str], bool], list], cut: bool = True, widths: np.ndarray | None = None, apart: str = "", cache: int = CACHE_PIECES):
+        self.encode, self.cut, self.widths, self.apart, self.cache = encode, cut, widths, apart, cache
         self._clear()
 
     def _clear(self) -> None:
@@ -105,6 +109,8 @@ class PieceEncoder:
         joins = np.zeros(len(pieces), bool)
         if self.widths is not None and not first:
             joins = _PLAIN[data[borders[1:] - 1]]
+            if self.apart:
+                joins &= ~pc.match_substring(pieces, self.apart).to_numpy(zero_copy_only=False)
         lengths, flat, order = np.zeros(len(pieces), np.int64), [np.zeros(0, np.uint32)], []
         if joins.any():
             chosen = pieces.filter(pa.array(joins))
@@ -149,9 +155,8 @@ class PieceEncoder:
             self._place[first] = np.append(self._place[first], fresh[short.to_numpy(zero_copy_only=False)])
         return place
 
-    def spans(self, data: np.ndarray, borders: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(tokens of each piece, ids) for consecutive spans of pieces; see ``tokens`` for texts."""
-        starts, first = piece_starts(data, borders, self.cut)
+    def spans(self, data: np.ndarray, starts: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(tokens of each piece, where its ids are) for consecutive spans of pieces; see ``tokens`` for texts."""
         ends = np.append(starts[1:], len(data))
         cuts = np.unique(np.append(np.searchsorted(starts, np.arange(0, len(data), SPAN_BYTES)), len(starts)))
         for lo, hi in zip(cuts[:-1], cuts[1:]):
@@ -165,18 +170,18 @@ class PieceEncoder:
                 if (chosen := opening == kind).any():
                     place[chosen] = self._places(pieces.filter(pa.array(chosen)), kind)
             lengths = self._length[place]
-            yield lengths, (self._begin[place], lengths)
+            yield lengths, self._begin[place]
 
     def tokens(self, column, with_ids: bool = True) -> tuple[np.ndarray, np.ndarray | None]:
         """Tokens of each row of a text column, and all ids one after another."""
         data, borders = column_bytes(column)
         lengths, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
-        for counts, where in self.spans(data, borders):
+        starts, first = piece_starts(data, borders, self.cut)
+        for counts, begins in self.spans(data, starts, first):
             lengths.append(counts)
             if with_ids:
-                ids.append(self._ids[ragged(*where)])
+                ids.append(self._ids[ragged(begins, counts)])
         before = np.append(0, np.cumsum(np.concatenate(lengths)))
-        starts, _ = piece_starts(data, borders, self.cut)
         return np.diff(before[np.searchsorted(starts, borders)]), np.concatenate(ids) if with_ids else None
 
 
@@ -210,4 +215,4 @@ def json_encoder(path: str, cache: int = CACHE_PIECES) -> PieceEncoder:
         vocabulary = tokenizer.get_vocab(with_added_tokens=True)
         widths = np.zeros(max(vocabulary.values()) + 1, np.int64)
         widths[list(vocabulary.values())] = [len(t) for t in vocabulary]
-    return PieceEncoder(encode, bool(cut), widths, cache)
+    return PieceEncoder(encode, bool(cut), widths, cache=cache)

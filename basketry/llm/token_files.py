@@ -84,7 +84,7 @@ def _id_counts(staged: DataFrame) -> DataFrame:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for ids in batch.column(0):
-                found = np.bincount(np.frombuffer(ids.as_py(), "<u4"), minlength=len(total))
+                found = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"), minlength=len(total))
                 found[: len(total)] += total
                 total = found
         seen = np.flatnonzero(total)
@@ -117,8 +117,9 @@ def write_tokens(
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book = Codebook(ids, lengths, MOST_BITS)
         for batch in batches:
-            for i, (part, start, flat) in enumerate(zip(*(batch.column(k).to_pylist() for k in (0, 1, 4)))):
-                bits, marks = book.encode(np.frombuffer(flat, "<u4"), STEP)
+            for i in range(len(batch)):
+                part, start = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                bits, marks = book.encode(np.frombuffer(batch.column(4)[i].as_buffer(), "<u4"), STEP)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([first[part] + start], pa.int64()), batch.column(2).slice(i, 1), batch.column(3).slice(i, 1), pa.array([marks.astype("<u8").tobytes()], pa.binary()), pa.array([bits], pa.binary())],
                     ["start", "doc_ids", "counts", "marks", "bits"],
@@ -138,7 +139,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for i in range(len(batch)):
                 n = batch.column(2)[i].values.to_numpy()
-                flat = book.decode(batch.column(4)[i].as_py(), np.frombuffer(batch.column(3)[i].as_py(), "<u8"), int(n.sum()), STEP)
+                flat = book.decode(batch.column(4)[i].as_buffer(), np.frombuffer(batch.column(3)[i].as_buffer(), "<u8"), int(n.sum()), STEP)
                 before = np.cumsum(n) - n
                 borders = pa.py_buffer((4 * np.append(before, n.sum())).astype(np.int32))
                 held = pa.Array.from_buffers(pa.binary(), len(n), [None, borders, pa.py_buffer(flat.astype("<u4"))])
