@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from basketry.llm.balance import op10_sharding
+from basketry.llm.block_search import op7_block_search
 from basketry.llm.sentence_pieces import op4_sentence_pieces
 from basketry.llm.simhash import op2_simhash
 from basketry.llm.token_counts import op8_token_counts
@@ -12,6 +13,7 @@ QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_simhash": op2_simhash,
     "op4_sentence_pieces": op4_sentence_pieces,
+    "op7_block_search": op7_block_search,
     "op8_token_counts": op8_token_counts,
     "op10_sharding": op10_sharding,
 }
