@@ -1,0 +1,55 @@
+"""Exact search against a plain product of all vectors."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
+
+from basketry.llm import block_search
+from basketry.llm.catalog import QUERIES
+
+FIELDS = "vec_id long, embedding array<float>, id long, v int"
+
+
+def plain(rows, k, is_query):
+    whole = {i: [math.floor(1024 * float(np.float32(x))) for x in v] for i, v in rows}
+    out = []
+    for q in sorted(i for i in whole if is_query(i)):
+        scored = sorted((-sum(a * b for a, b in zip(whole[q], whole[i])), i) for i in whole if i != q)
+        out += [(q, r, i, -s) for r, (s, i) in enumerate(scored[:k], 1)]
+    return out
+
+
+def test_whole_table(spark, sf_dir):
+    table = pq.read_table(f"{sf_dir}/embeddings.parquet").to_pydict()
+    expected = plain(list(zip(table["vec_id"], table["embedding"])), 10, lambda i: i % 100 == 0)
+    assert sorted(tuple(r) for r in QUERIES["op7_block_search"](spark, sf_dir).collect()) == expected
+
+
+def test_edge_cases(spark, monkeypatch):
+    for name, value in (("BLOCK", 2), ("BLOCKS", 2), ("CHUNK", 3), ("MOST_TILES", 3)):
+        monkeypatch.setattr(block_search, name, value)
+    good = [(0, [1.0, -0.5]), (1, [1.0, -0.5]), (2, [1.0, -0.5]), (3, [0.0, 0.0]), (4, [3e18, 1.0]), (5, [-3e18, 2.0]), (10, [0.25]), (20, [0.1, 0.2, 0.3]), (30, []), (31, [1.0, -0.5])]
+    bad = [(40, None), (50, [None, 1.0]), (60, [float("nan"), 1.0]), (70, [float("inf"), 1.0]), (None, [1.0, 1.0]), (0, [1.0, -0.5])]
+    df = spark.createDataFrame([(i, v, 1, 2) for i, v in good + bad], FIELDS)
+    found = sorted(tuple(r) for r in block_search.top_k(df, 3, F.col("id") % 10 == 0, "vec_id", "embedding").collect())
+    cut = lambda s: max(-(2**63), min(2**63 - 1, s))
+    assert found == [(q, r, i, cut(s)) for q, r, i, s in plain(good, 3, lambda i: i % 10 == 0)]
+
+
+def test_empty_and_single(spark):
+    none = spark.createDataFrame([], FIELDS)
+    assert block_search.top_k(none, 3, F.lit(True), "vec_id", "embedding").count() == 0
+    one = spark.createDataFrame([(1, [1.0], 1, 2)], FIELDS)
+    assert block_search.top_k(one, 3, F.lit(True), "vec_id", "embedding").count() == 0
+
+
+def test_blocks_below_the_kth_score_are_not_read():
+    x = np.zeros((block_search.BLOCK * 4, 2))
+    x[: block_search.BLOCK] = 100
+    q, ids = np.ones((1, 2)), np.arange(len(x))
+    owner, ident, score, _, scored = block_search._tile(q, np.array([-1]), np.array([-np.inf]), x, ids, 10, False)
+    assert scored == 1 and ident.tolist() == list(range(10)) and set(score) == {200}
