@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from basketry.llm.balance import op10_sharding
 from basketry.llm.block_search import op7_block_search
+from basketry.llm.line_crf import op9_quality
 from basketry.llm.sentence_pieces import op4_sentence_pieces
 from basketry.llm.simhash import op2_simhash
 from basketry.llm.token_counts import op8_token_counts
@@ -15,6 +16,7 @@ QUERIES = {
     "op4_sentence_pieces": op4_sentence_pieces,
     "op7_block_search": op7_block_search,
     "op8_token_counts": op8_token_counts,
+    "op9_quality": op9_quality,
     "op10_sharding": op10_sharding,
 }
 ORACLE: dict[str, str] = {}
