@@ -5,6 +5,7 @@ from __future__ import annotations
 from basketry.llm.balance import op10_sharding
 from basketry.llm.block_search import op7_block_search
 from basketry.llm.line_crf import op9_quality
+from basketry.llm.mixing import op6_mixing
 from basketry.llm.sentence_pieces import op4_sentence_pieces
 from basketry.llm.simhash import op2_simhash
 from basketry.llm.token_counts import op8_token_counts
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_simhash": op2_simhash,
     "op4_sentence_pieces": op4_sentence_pieces,
+    "op6_mixing": op6_mixing,
     "op7_block_search": op7_block_search,
     "op8_token_counts": op8_token_counts,
     "op9_quality": op9_quality,
