@@ -5,6 +5,7 @@ from __future__ import annotations
 from basketry.llm.balance import op10_sharding
 from basketry.llm.block_search import op7_block_search
 from basketry.llm.line_crf import op9_quality
+from basketry.llm.lm_scores import op3_lm_scores
 from basketry.llm.mixing import op6_mixing
 from basketry.llm.sentence_pieces import op4_sentence_pieces
 from basketry.llm.simhash import op2_simhash
@@ -14,6 +15,7 @@ from basketry.llm.token_files import op1_token_files
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_simhash": op2_simhash,
+    "op3_lm_scores": op3_lm_scores,
     "op4_sentence_pieces": op4_sentence_pieces,
     "op6_mixing": op6_mixing,
     "op7_block_search": op7_block_search,

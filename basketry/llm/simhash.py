@@ -28,7 +28,7 @@ PART_BYTES = 4 << 20
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def _words(text: bytes) -> Iterator[list[bytes]]:
+def words_of(text: bytes) -> Iterator[list[bytes]]:
     """Lower-cased words, a part of the text at a time; bytes.lower and bytes.split know ASCII only."""
     at = 0
     while at < len(text):
@@ -41,7 +41,7 @@ def _words(text: bytes) -> Iterator[list[bytes]]:
 def fingerprint(text: bytes, width: int = SHINGLE) -> int:
     """64-bit fingerprint: a bit is 1 if set in over half the hashes of all word shingles."""
     digest, counts, n, held = xxhash.xxh64_intdigest, np.zeros(64, np.int64), 0, []
-    for words in _words(text):
+    for words in words_of(text):
         held += words
         if len(held) < width:
             continue
