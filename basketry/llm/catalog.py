@@ -7,6 +7,7 @@ from basketry.llm.block_search import op7_block_search
 from basketry.llm.line_crf import op9_quality
 from basketry.llm.lm_scores import op3_lm_scores
 from basketry.llm.mixing import op6_mixing
+from basketry.llm.nn_descent import op5_neighbours
 from basketry.llm.sentence_pieces import op4_sentence_pieces
 from basketry.llm.simhash import op2_simhash
 from basketry.llm.token_counts import op8_token_counts
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_lm_scores": op3_lm_scores,
     "op4_sentence_pieces": op4_sentence_pieces,
+    "op5_neighbours": op5_neighbours,
     "op6_mixing": op6_mixing,
     "op7_block_search": op7_block_search,
     "op8_token_counts": op8_token_counts,
