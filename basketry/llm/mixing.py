@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from basketry.llm.scratch import written
 
-#: Rounds of raking at most, and the relative error of a share at which it ends.
-ROUNDS, CLOSE = 30, 1e-6
+#: Rounds of raking in one job, jobs at most, and the relative error of a share at which it ends.
+ROUNDS, JOBS, CLOSE = 6, 5, 1e-4
 #: Share of all tokens that is drawn, and the power that tempers the shares of a dimension.
 KEEP, TEMPER = 0.95, 0.8
 SEED = 42
@@ -48,32 +48,35 @@ def tempered(cells: DataFrame, dimension: str, power: float = TEMPER) -> DataFra
     return sums.join(F.broadcast(total)).select(F.col(dimension).alias("value"), (F.col("p") / F.col("all")).alias("share"))  # one row
 
 
-def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS, close: float = CLOSE) -> DataFrame:
+def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS, jobs: int = JOBS, close: float = CLOSE) -> DataFrame:
     """cells with ``w``: their tokens, scaled so that every dimension has its target shares.
 
     ``targets``: (value, share) per dimension; shares are taken among the values that occur, a value
-    without a share gets weight 0. Weights sum to the tokens of all cells. Each round is written to the
-    shared folder; the table has one row per cell, so it grows with the categories and not the documents.
+    without a share gets weight 0. Weights sum to the tokens of all cells. A few rounds make a job, whose
+    result is written to the shared folder; all windows are over cells, whose number grows with the
+    categories and not with the documents.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    now = cells.withColumn("w", F.col("tokens").cast("double"))
-    wanted = {}
+    now = cells
     for dimension, target in targets.items():
-        there = target.join(cells.where("tokens > 0").select(F.col(dimension).alias("value")).distinct(), "value", "left_semi").where("share > 0")
+        there = target.where("share > 0").join(cells.where("tokens > 0").select(F.col(dimension).alias("value")).distinct(), "value", "left_semi")
         share = there.agg(F.sum("share")).first()[0] or 1.0
-        wanted[dimension] = written(there.select(F.col("value").alias(dimension), (F.col("share") * (total / share)).alias("goal")), f"goal-{dimension}")
-    for _ in range(rounds):
-        for dimension, goals in wanted.items():
-            sums = now.groupBy(dimension).agg(F.sum("w").alias("s"))
-            factors = sums.join(goals, dimension, "left").select(dimension, F.when(F.col("s") > 0, F.coalesce("goal", F.lit(0.0)) / F.col("s")).otherwise(0.0).alias("f"))
-            now = now.join(factors, dimension).withColumn("w", F.col("w") * F.col("f"))
-            now = now.withColumn(f"off_{dimension}", F.when(F.col("w") > 0, F.abs(F.col("f") - 1)).otherwise(0.0)).drop("f")
-        now = written(now.withColumn("off", F.greatest(*(F.col(f"off_{d}") for d in wanted), F.lit(0.0))).drop(*(f"off_{d}" for d in wanted)), "raked")
-        off = now.agg(F.max("off")).first()[0] or 0.0
-        now = now.drop("off")
-        if off < close:
+        goals = there.select(F.col("value").alias(dimension), (F.col("share") * (total / share)).alias(f"goal_{dimension}"))
+        now = now.join(goals, dimension, "left")
+    now = written(now.withColumn("w", F.col("tokens").cast("double")), "raked")
+    for _ in range(jobs):
+        for number in range(rounds):
+            for dimension in targets:
+                s = F.sum("w").over(Window.partitionBy(dimension))
+                now = now.withColumn("f", F.when(s > 0, F.coalesce(f"goal_{dimension}", F.lit(0.0)) / s).otherwise(0.0)).withColumn("w", F.col("w") * F.col("f"))
+                if number == rounds - 1:  # how far this share was off before its last scaling
+                    now = now.withColumn(f"off_{dimension}", F.when(F.col("w") > 0, F.abs(F.col("f") - 1)).otherwise(0.0))
+        off = F.greatest(*(F.col(f"off_{d}") for d in targets), F.lit(0.0))
+        now = written(now.withColumn("off", off).drop("f", *(f"off_{d}" for d in targets)), "raked")
+        if (now.agg(F.max("off")).first()[0] or 0.0) < close:
             break
-    return now
+        now = now.drop("off")
+    return now.drop("off", *(f"goal_{d}" for d in targets))
 
 
 def calibrated(cells: DataFrame, keep: float = KEEP) -> DataFrame:
