@@ -1,13 +1,19 @@
-"""Order-independent sums of money amounts.
+"""Sums of money amounts that neither depend on the order of rows nor cut an amount.
 
 A sum of doubles depends on the order in which partitions are merged, so a
-retried task or another cluster size changes the last digits. Here amounts are
-turned into integer units (four decimals cover every currency's minor unit),
-split into two 64-bit halves and summed as longs. That stays inside whole-stage
-code generation, gives the same result for every partitioning, and is several
-times cheaper per row than summing a DECIMAL.
-
-The low half keeps 20 bits: it overflows only beyond 2^43 rows in one group.
+retried task or another cluster size changes the last digits. Here each amount
+takes the cheapest exact way:
+
+* a DECIMAL column is summed as DECIMAL;
+* an amount of at most four decimals (the common case) becomes integer units in
+  two 64-bit halves, inside whole-stage code generation;
+* any other amount below 1e14 is summed as a decimal of twelve places, taken
+  from its shortest decimal form;
+* what no decimal holds (NaN, Infinity, larger amounts) is summed as a double
+  and added on, so that no row is lost and none ends the job.
+
+Only the last kind depends on the order of rows. Amounts are rounded to twelve
+places; the low half keeps 20 bits and overflows beyond 2^43 rows in one group.
 """
 
 from __future__ import annotations
@@ -16,33 +22,35 @@ from pyspark.sql import Column, functions as F
 
 SCALE = 4
 LOW_BITS = 20
-WIDE_TYPE = "decimal(28,4)"
+UNITS_BELOW = 9e11  # units of larger amounts are no exact doubles
+DECIMAL_BELOW = 1e14
+DECIMAL_TYPE = "decimal(28,12)"
 
 
-def _exact_sum_sql(amount: str, scale: int) -> str:
-    units = f"cast(rint(({amount}) * {10**scale}) as bigint)"
-    high = f"cast(sum(shiftright({units}, {LOW_BITS})) as decimal(20,0))"
-    low = f"cast(sum({units} & {2**LOW_BITS - 1}) as decimal(20,0))"
-    return f"cast(({high} * {2**LOW_BITS} + {low}) * {10**-scale:.{scale}f} as double)"
+def _sum_sql(amount: str) -> str:
+    x = f"cast(({amount}) as double)"
+    units = f"rint({x} * 1{'0' * SCALE})"
+    plain = f"coalesce(abs({x}) < {UNITS_BELOW:.0f}D and {units} / 1{'0' * SCALE} = {x}, false)"
+    decimal = f"coalesce(abs({x}) < {DECIMAL_BELOW:.0f}D, false)"
+    whole = f"case when {plain} then cast({units} as bigint) end"
+    high = f"coalesce(cast(sum(shiftright({whole}, {LOW_BITS})) as decimal(20,0)), 0BD)"
+    low = f"coalesce(cast(sum({whole} & {2**LOW_BITS - 1}) as decimal(20,0)), 0BD)"
+    fine = f"coalesce(sum(case when not {plain} and {decimal} then cast({x} as {DECIMAL_TYPE}) end), 0BD)"
+    rest = f"coalesce(sum(case when not {plain} and not {decimal} then {x} end), 0D)"
+    exact = f"cast(({high} * {2**LOW_BITS} + {low}) * {10**-SCALE:.{SCALE}f} + {fine} as double)"
+    doubles = f"case when count({amount}) > 0 then {exact} + {rest} end"
+    # The type is a constant, so only one of the two sums is planned, and no maximum.
+    return f"case when typeof(max({amount})) like 'decimal%' then cast(sum({amount}) as double) else {doubles} end"
 
 
-def exact_sum(amount: str, scale: int = SCALE) -> Column:
-    """Sum of a row-level amount, a column or SQL expression, rounded to ``scale`` decimals per row."""
-    return F.expr(_exact_sum_sql(amount, scale))
+def exact_sum(amount: str) -> Column:
+    """Sum of an amount, a column or SQL expression; null when all are null."""
+    return F.expr(_sum_sql(amount))
 
 
-def exact_avg(amount: str, scale: int = SCALE) -> Column:
+def exact_avg(amount: str) -> Column:
     """Mean of the non-null amounts; null when there are none."""
-    return F.expr(f"try_divide({_exact_sum_sql(amount, scale)}, count({amount}))")
-
-
-def wide_sum(amount: str) -> Column:
-    """Sum of already aggregated amounts, which may exceed the row-level range."""
-    return F.expr(f"cast(sum(cast({amount} as {WIDE_TYPE})) as double)")
-
-
-def wide_avg(amount: str) -> Column:
-    return F.expr(f"try_divide(cast(sum(cast({amount} as {WIDE_TYPE})) as double), count({amount}))")
+    return F.expr(f"try_divide({_sum_sql(amount)}, count({amount}))")
 
 
 def _col(c: Column | str) -> Column:
