@@ -24,6 +24,13 @@ def to_day(column: Column | str) -> Column:
     return c.try_cast("date")
 
 
+def dated(df: DataFrame, column: str = "date") -> DataFrame:
+    """Text dates as timestamps, unparsable ones as null; columns of another type stay as they are."""
+    if column in df.columns and df.schema[column].dataType.simpleString() == "string":
+        return df.withColumn(column, F.col(column).try_cast("timestamp"))
+    return df
+
+
 def month_key(column: Column | str) -> Column:
     return F.date_format(column, "yyyy-MM")
 

@@ -19,6 +19,11 @@ def require_columns(df: DataFrame, *names: str) -> None:
         raise MissingColumns(f"missing {missing}; available columns: {df.columns}")
 
 
+def first_rows(ordered: DataFrame, n: int | None) -> DataFrame:
+    """The first ``n`` rows, or with None all of them."""
+    return ordered if n is None else ordered.limit(n)
+
+
 def label_or(column: Column | str, label: str) -> Column:
     """Replace a null or empty label."""
     c = F.col(column) if isinstance(column, str) else column

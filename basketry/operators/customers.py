@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from basketry.constants import CLIENT_PREFIX, LOWEST_SEGMENT, SEGMENTS
 from basketry.functions.calendar import to_day
-from basketry.functions.columns import has_columns, require_columns
-from basketry.functions.money import exact_avg, exact_sum, wide_avg
+from basketry.functions.columns import first_rows, has_columns, require_columns
+from basketry.functions.money import exact_avg, exact_sum
 from basketry.operators.lookup import attach_record
 
 
@@ -50,13 +50,13 @@ def segment_summary(segmented: DataFrame) -> DataFrame:
     """Customers, mean spend and mean number of orders per segment."""
     return segmented.groupBy("segment").agg(
         F.count("*").alias("nb_clients"),
-        wide_avg("total_depense").alias("depense_moyenne"),
+        exact_avg("total_depense").alias("depense_moyenne"),
         F.try_divide(F.sum("nombre_commandes"), F.count("nombre_commandes")).alias("commandes_moyennes"),
     )
 
 
-def top_by_orders(behavior: DataFrame, n: int = 10) -> DataFrame:
-    return behavior.orderBy(F.desc("nombre_commandes"), F.asc("customer_id")).limit(n)
+def top_by_orders(behavior: DataFrame, n: int | None = 10) -> DataFrame:
+    return first_rows(behavior.orderBy(F.desc("nombre_commandes"), F.asc("customer_id")), n)
 
 
 def customer_spend(orders: DataFrame) -> DataFrame:
@@ -73,6 +73,11 @@ def _customer(*fields: str) -> Column:
     return F.when(F.col("name").isNotNull(), F.struct(*fields))
 
 
+def _with_name(customers: DataFrame) -> DataFrame:
+    """Customers; without a name column every name is unknown."""
+    return customers if has_columns(customers, "name") else customers.withColumn("name", F.lit(None).cast("string"))
+
+
 def _fallback_name() -> Column:
     return F.concat(F.lit(CLIENT_PREFIX), F.right(F.col("customer_id").cast("string"), F.lit(4)))
 
@@ -83,7 +88,7 @@ def top_spenders(orders: DataFrame, n: int = 5) -> DataFrame:
 
 def top_customers(orders: DataFrame, customers: DataFrame, n: int = 5) -> DataFrame:
     """Highest spenders with their name; unknown ids show their last four characters."""
-    named = attach_record(top_spenders(orders, n), customers, "customer_id", _customer("name"))
+    named = attach_record(top_spenders(orders, n), _with_name(customers), "customer_id", _customer("name"))
     return named.select(
         "customer_id",
         F.coalesce("record.name", _fallback_name()).alias("client_name"),
@@ -102,7 +107,7 @@ def top_customer_labels(orders: DataFrame, customers: DataFrame, n: int = 5) ->
         full = F.coalesce(F.concat(F.substring(name, 1, 10), F.lit(" ("), place, F.lit(")")), name)
     else:
         record, full = _customer("name"), name
-    return attach_record(top_spenders(orders, n), customers, "customer_id", record).select(
+    return attach_record(top_spenders(orders, n), _with_name(customers), "customer_id", record).select(
         "customer_id",
         F.coalesce(F.substring(full, 1, 12), _fallback_name()).alias("label"),
         "total_spent",

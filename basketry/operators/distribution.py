@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from basketry.functions.columns import require_columns
 from basketry.functions.money import exact_avg
 
-MEDIAN_BINS = 4096
+#: Ranks of the quantile sketch are right to one part in this many.
+SKETCH_ACCURACY = 100_000
+
+
+def _finite(df: DataFrame, column: str) -> DataFrame:
+    """The amounts as ``x``. Null, NaN and infinite amounts have no place on an axis: they take part in none of these results."""
+    x = F.col("x")
+    return df.select(F.col(column).cast("double").alias("x")).filter(x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
 
 
 def histogram(df: DataFrame, column: str = "total_amount", bins: int = 15) -> DataFrame:
-    """Equal-width bins from minimum to maximum, the last one closed, empty bins included.
+    """Equal-width bins of the finite amounts, the last one closed, empty bins included.
 
     A column with a single value is shown in a range of width one around it.
     """
     require_columns(df, column)
-    values = df.select(F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    values = _finite(df, column)
     low, high = F.min("x"), F.max("x")
     margin = F.when(low == high, 0.5).otherwise(0.0)
     bounds = values.agg(
@@ -41,44 +48,40 @@ def histogram(df: DataFrame, column: str = "total_amount", bins: int = 15) -> Da
     )
 
 
-def exact_median(df: DataFrame, column: str = "total_amount") -> float | None:
-    """Exact median of the non-null amounts, None when there are none (runs jobs).
-
-    The built-in exact percentile gathers every distinct value in one task.
-    Here the interval that holds the middle ranks is split into bins, counted
-    with map-side combine, and the search goes on between the minimum and
-    maximum of the bin that holds them. Binning keeps the order of values, so
-    each step is exact; it divides the interval by ``MEDIAN_BINS`` and brings at
-    most ``MEDIAN_BINS + 1`` rows to the driver, whatever the size of the data.
+def median_frame(df: DataFrame, column: str = "total_amount") -> DataFrame:
+    """One row ``median``: the exact median of the finite amounts, null when there are none.
+
+    The built-in exact percentile gathers every distinct value in one task. Here a mergeable quantile
+    sketch brackets the middle ranks in one pass; a second pass counts the rows below the bracket and
+    each value inside it, and only those few values are put in order.
     """
     require_columns(df, column)
-    x = F.col("x")
-    values = df.select(F.col(column).cast("double").alias("x")).filter(x.isNotNull() & ~F.isnan(x))
-    total, low, high = values.agg(F.count("*"), F.min("x"), F.max("x")).first()
-    if total == 0:
-        return None
-    lower, upper = (total + 1) // 2, (total + 2) // 2
-    while low < high:
-        width = high / MEDIAN_BINS - low / MEDIAN_BINS
-        bins = (
-            values.filter(x.between(low, high))
-            .groupBy(F.floor((x - F.lit(low)) / F.lit(width)).alias("bin"))
-            .agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
-            .collect()
-        )
-        before = 0
-        for b in sorted(bins, key=lambda b: b["bin"]):
-            if lower <= before + b["n"]:
-                break
-            before += b["n"]
-        if upper > before + b["n"]:
-            # The two middle values are the last of this bin and the first of the next.
-            return (b["high"] + min(c["low"] for c in bins if c["bin"] > b["bin"])) / 2
-        lower, upper, low, high = lower - before, upper - before, b["low"], b["high"]
-    return low
+    values = _finite(df, column)
+    around = [0.5 - 2 / SKETCH_ACCURACY, 0.5 + 2 / SKETCH_ACCURACY]
+    sketch = values.agg(
+        F.percentile_approx("x", around, SKETCH_ACCURACY).alias("bracket"), F.count("*").alias("n")
+    ).select(F.struct("bracket", "n")).scalar()
+    low, high = sketch["bracket"][0], sketch["bracket"][1]
+    counted = values.filter(F.col("x") <= high).groupBy(F.when(F.col("x") >= low, F.col("x")).alias("x")).agg(F.count("*").alias("n"))
+    # About 4 / SKETCH_ACCURACY of the rows lie inside; the rows below are one group, which comes first.
+    upto = counted.withColumn("upto", F.sum("n").over(Window.orderBy(F.asc_nulls_first("x"))))
+    n = sketch["n"]
+    middle = upto.agg(
+        F.min(F.when(F.col("upto") * 2 >= n, F.col("x"))).alias("a"),
+        F.min(F.when(F.col("upto") * 2 >= n + 1, F.col("x"))).alias("b"),
+    )
+    both = (F.col("a") + F.col("b")) / 2
+    halves = F.col("a") / 2 + F.col("b") / 2  # where the sum leaves the range of doubles
+    middle = middle.withColumn("b", F.greatest("a", "b"))
+    return middle.select(F.when(F.col("a") == F.col("b"), F.col("a")).when(F.abs(both) < float("inf"), both).otherwise(halves).alias("median"))
+
+
+def exact_median(df: DataFrame, column: str = "total_amount") -> float | None:
+    """The value of ``median_frame`` (runs its two passes)."""
+    return median_frame(df, column).first()["median"]
 
 
 def amount_center(df: DataFrame, column: str = "total_amount") -> DataFrame:
-    """Mean and exact median of an amount column."""
-    median = F.lit(exact_median(df, column)).cast("double")
-    return df.agg(exact_avg(f"`{column}`").alias("mean_amount")).withColumn("median_amount", median)
+    """Mean and exact median of the finite amounts."""
+    mean = _finite(df, column).agg(exact_avg("x").alias("mean_amount"))
+    return mean.withColumn("median_amount", median_frame(df, column).scalar())

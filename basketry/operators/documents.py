@@ -5,71 +5,53 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from basketry.constants import UNKNOWN
-from basketry.functions.columns import require_columns
+from basketry.functions.columns import has_columns, require_columns
 from basketry.functions.money import exact_sum
 from basketry.operators.lookup import attach_record
 from basketry.operators.products import product_lookup
-from basketry.operators.skew import HOT_ROWS, SALT, find_hot_keys, skew_join
 
-MAX_ITEMS = 10_000
 
+def item_lines(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Each order line with the name and price of its product.
 
-def item_lines(lines: DataFrame, products: DataFrame, keys_from: DataFrame | None = None) -> DataFrame:
-    """Each order line with the name and price of its product."""
+    A product on very many lines is split by adaptive execution: the lines are the side that a left
+    join may split.
+    """
     require_columns(lines, "order_id", "product_id", "quantity")
-    joined = skew_join(lines, product_lookup(products), "product_id", keys_from=keys_from)
-    return joined.select("order_id", "product_id", "name", "price", "quantity")
+    return lines.join(product_lookup(products), "product_id", "left").select("order_id", "product_id", "name", "price", "quantity")
 
 
 def lines_of(lines: DataFrame, orders: DataFrame) -> DataFrame:
     """The lines that belong to the given orders."""
-    return skew_join(lines, orders.select("order_id"), "order_id", "left_semi")
+    return lines.join(orders.select("order_id"), "order_id", "left_semi")
 
 
-def order_documents(
-    orders: DataFrame,
-    lines: DataFrame,
-    products: DataFrame,
-    max_items: int = MAX_ITEMS,
-    min_hot_rows: int = HOT_ROWS,
-    keys_from: DataFrame | None = None,
-) -> DataFrame:
-    """One document per order with its items as an ordered array and their total.
-
-    An order of more than ``max_items`` lines continues in further documents
-    with the same ``order_id`` and another ``part``, so no array and no task
-    grows with the size of one order; ``items_total`` is the total of the items
-    in the document. An order without lines keeps an empty array. When ``lines``
-    are the result of a join, ``keys_from`` names the table to look for hot
-    orders and products in.
+def order_documents(orders: DataFrame, lines: DataFrame, products: DataFrame, split_items: int | None = None) -> DataFrame:
+    """One document per order: all its items as an ordered array, and their total.
+
+    An order without lines keeps an empty array; ``part`` is 0.
+
+    With ``split_items`` an order of more lines than that becomes several documents of about that size,
+    numbered by ``part``, with ``items_total`` for the items in the document. The number of parts follows
+    from the order's line count and an item's part from the item's own product and quantity, so the
+    documents are the same on every cluster; an order's parts go to different tasks. Parts without an
+    item are not documents.
     """
-    hot = find_hot_keys(lines if keys_from is None else keys_from, "order_id", min_hot_rows)
-    items = item_lines(lines, products, keys_from)
-    if hot:
-        keys, items, orders = ["order_id", SALT], hot.spread(items), hot.replicate(orders)
-        salt = F.col(SALT)
-    else:
-        keys, salt = ["order_id"], F.lit(0)
+    items = item_lines(lines, products).withColumn("part", F.lit(0).cast("bigint"))
+    if split_items is not None:
+        sizes = lines.groupBy("order_id").agg(F.ceil(F.count("*") / split_items).alias("parts")).filter("parts > 1")
+        part = F.pmod(F.xxhash64("product_id", "quantity"), F.col("parts"))
+        items = items.join(sizes, "order_id", "left").withColumn("part", F.coalesce(part, F.col("part")))
     # Name and price follow from the product, so this is the order of the whole item.
-    in_order = Window.partitionBy(*keys).orderBy("product_id", "quantity")
-    item = F.struct("product_id", "name", "price", "quantity")
-    # The grouping keys extend the window's keys, so this adds no shuffle.
-    nested = (
-        items.withColumn("chunk", F.floor((F.row_number().over(in_order) - 1) / max_items))
-        .groupBy(*keys, "chunk")
-        .agg(
-            F.array_sort(F.collect_list(item)).alias("items"),
-            exact_sum("price * quantity").alias("items_total"),
-        )
+    nested = items.groupBy("order_id", "part").agg(
+        F.array_sort(F.collect_list(F.struct("product_id", "name", "price", "quantity"))).alias("items"),
+        exact_sum("price * quantity").alias("items_total"),
     )
-    joined = orders.join(nested, keys, "left")
-    # Salts that received no line are no documents; the first stays, so no order is lost.
-    kept = joined.filter(F.col("items").isNotNull() | (salt == 0))
     no_items = F.array().cast(nested.schema["items"].dataType)
-    return kept.select(
+    return orders.join(nested, "order_id", "left").select(
         "order_id",
-        (F.coalesce("chunk", F.lit(0)) * hot.salts + salt).cast("bigint").alias("part"),
-        *[c for c in orders.columns if c not in keys],
+        F.coalesce("part", F.lit(0).cast("bigint")).alias("part"),
+        *[c for c in orders.columns if c != "order_id"],
         F.coalesce("items", no_items).alias("items"),
         F.coalesce("items_total", F.lit(0.0)).alias("items_total"),
     )
@@ -102,17 +84,21 @@ def order_item_totals(orders: DataFrame, lines: DataFrame, products: DataFrame)
 
 
 def document_item_preview(documents: DataFrame, n_orders: int = 3, per_order: int = 2) -> DataFrame:
-    """The first items of the first order documents, names cut to thirty characters."""
+    """The first items of the first orders, names cut to thirty characters.
+
+    Documents that share an order (``part``) count as one order, their items numbered from part to part;
+    of several unsplit documents under one id the items count together.
+    """
     require_columns(documents, "order_id", "items")
-    first = documents.select("order_id", F.slice("items", 1, per_order).alias("items")).orderBy("order_id")
-    shown = first.limit(n_orders).select("order_id", F.posexplode("items").alias("position", "item"))
-    return shown.select(
-        "order_id",
-        (F.col("position") + 1).alias("position"),
-        _short_name("item.name"),
-        "item.quantity",
-        "item.price",
-    )
+    part = F.col("part") if has_columns(documents, "part") else F.lit(0)
+    few = documents.select("order_id", part.alias("part"), F.slice("items", 1, per_order).alias("items"))
+    first = few.select("order_id").distinct().orderBy("order_id").limit(n_orders)
+    # n_orders rows are broadcast; null ids are orders of their own group.
+    chosen = few.join(F.broadcast(first.withColumnRenamed("order_id", "chosen")), F.col("order_id").eqNullSafe(F.col("chosen")), "left_semi")
+    ranked = chosen.select("order_id", "part", F.posexplode("items").alias("at", "item"))
+    number = F.row_number().over(Window.partitionBy("order_id").orderBy("part", "at", "item"))
+    shown = ranked.withColumn("position", number).filter(F.col("position") <= per_order)
+    return shown.select("order_id", "position", _short_name("item.name"), "item.quantity", "item.price")
 
 
 def _short_name(column: str) -> Column:

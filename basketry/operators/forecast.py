@@ -29,7 +29,7 @@ from basketry.constants import (
 )
 from basketry.functions.calendar import AsOf, as_of_column, to_day, weekday_name
 from basketry.functions.columns import require_columns
-from basketry.functions.money import exact_avg, exact_sum, wide_avg
+from basketry.functions.money import exact_avg, exact_sum
 from basketry.functions.predicates import delivered_contains
 
 
@@ -56,7 +56,7 @@ def training_features(rows: DataFrame, grain: str = "order") -> DataFrame:
     """Amount and calendar features, one row per order or per day."""
     require_columns(rows, "date", "total_amount")
     if grain == "order":
-        return rows.select("total_amount", *calendar_columns(F.col("date")))
+        return rows.select("total_amount", *calendar_columns(to_day("date")))
     if grain == "day":
         days = rows.groupBy(to_day("date").alias("date")).agg(exact_sum("total_amount").alias("total_amount"))
         return days.select("total_amount", *calendar_columns(F.col("date")))
@@ -194,6 +194,8 @@ def next_predictions(predictions: DataFrame, n: int = 5) -> DataFrame:
 
 def forecast_summary(predictions: DataFrame) -> DataFrame:
     """Total and mean forecast per model."""
+    if "model" not in predictions.columns:  # stored by a single model
+        predictions = predictions.withColumn("model", F.lit(MODEL_NAME))
     return predictions.groupBy("model").agg(
         F.count("*").alias("n_days"),
         F.sum("predicted_sales").alias("total_predicted"),
@@ -223,7 +225,7 @@ def forecast_vs_history(predictions: DataFrame, history: DataFrame) -> DataFrame
     forecast_mean = predictions.agg(F.avg("predicted_sales")).scalar()
     change = (F.col("pred_avg") - F.col("hist_avg")) / F.col("hist_avg") * 100
     return (
-        history.agg(wide_avg("daily_sales").alias("hist_avg"))
+        history.agg(exact_avg("daily_sales").alias("hist_avg"))
         .filter(F.col("hist_avg").isNotNull())
         .withColumn("pred_avg", F.coalesce(forecast_mean, F.lit(0.0)))
         .select(

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from basketry.constants import UNKNOWN
-from basketry.functions.columns import has_columns, require_columns
-from basketry.functions.money import exact_avg, exact_sum, wide_sum
+from basketry.functions.columns import first_rows, has_columns, require_columns
+from basketry.functions.money import exact_avg, exact_sum
 
 
 def _lines(items: DataFrame) -> str:
@@ -48,21 +48,20 @@ def product_sales(items: DataFrame) -> DataFrame:
     )
 
 
-def top_products_by_count(sales: DataFrame, n: int = 10) -> DataFrame:
-    return sales.orderBy(F.desc("nb_ventes"), F.asc("product_id"), F.asc("produit")).limit(n)
+def top_products_by_count(sales: DataFrame, n: int | None = 10) -> DataFrame:
+    return first_rows(sales.orderBy(F.desc("nb_ventes"), F.asc("product_id"), F.asc("produit")), n)
 
 
 def product_revenue(items: DataFrame) -> DataFrame:
     """Quantity, revenue and mean item price per product id and name."""
     require_columns(items, "product_id", "name", "price", "quantity")
     n = _lines(items)
-    money = wide_sum if has_columns(items, "n_lines") else exact_sum
-    revenue = money("price * quantity")
+    revenue = exact_sum("price * quantity")
     priced = F.expr(f"sum(if(price is null, null, {n}))")
     return items.groupBy("product_id", "name").agg(
         F.coalesce(F.sum("quantity"), F.lit(0)).alias("total_sold"),
         F.coalesce(revenue, F.lit(0.0)).alias("total_revenue"),
-        F.try_divide(money(f"price * {n}"), priced).alias("avg_price"),
+        F.try_divide(exact_sum(f"price * {n}"), priced).alias("avg_price"),
     )
 
 
@@ -71,10 +70,10 @@ def top_products_by_revenue(items: DataFrame, n: int = 5, unknown: str = UNKNOWN
     return top.withColumn("name", F.coalesce("name", F.lit(unknown)))
 
 
-def product_catalog(products: DataFrame, n: int = 100) -> DataFrame:
+def product_catalog(products: DataFrame, n: int | None = 100) -> DataFrame:
     """Plain product listing, for orders that carry no items."""
     require_columns(products, "product_id", "name", "price", "category")
-    return products.select("product_id", "name", "price", "category").orderBy("product_id", "name").limit(n)
+    return first_rows(products.select("product_id", "name", "price", "category").orderBy("product_id", "name"), n)
 
 
 def price_statistics(products: DataFrame) -> DataFrame:

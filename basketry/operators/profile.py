@@ -40,9 +40,15 @@ def schema_listing(name: str, df: DataFrame) -> DataFrame:
     )
 
 
-def preview(df: DataFrame, key: str, n: int = 20) -> DataFrame:
-    """The first ``n`` rows by key."""
-    return df.orderBy(key).limit(n)
+def orderable(df: DataFrame) -> list[str]:
+    """Columns that rows can be sorted by."""
+    return [f.name for f in df.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+
+
+def preview(df: DataFrame, key: str | list[str], n: int = 20) -> DataFrame:
+    """The first ``n`` rows by a key, or by several columns."""
+    keys = [key] if isinstance(key, str) else key
+    return df.orderBy(*[F.col(f"`{k}`") for k in keys]).limit(n) if keys else df.limit(n)
 
 
 def missing_values(df: DataFrame) -> DataFrame:

@@ -4,28 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from basketry.functions.columns import require_columns
+from basketry.functions.columns import has_columns, require_columns
 from basketry.functions.money import exact_avg, exact_sum, percent
 from basketry.operators.shares import row_count
 
 
 def _delivered_kpis(orders: DataFrame, delivered: Column) -> DataFrame:
-    """One row of order counts and delivered amounts from a single scan."""
-    marked = orders.select("total_amount", delivered.alias("delivered"))
+    """One row of order counts and, where orders have amounts, delivered amounts, from a single scan."""
+    priced = has_columns(orders, "total_amount")
+    marked = orders.select(*(["total_amount"] if priced else []), delivered.alias("delivered"))
     amount = "if(delivered, total_amount, null)"
-    return marked.agg(
-        F.count("*").alias("total_orders"),
-        F.count_if("delivered").alias("delivered_orders"),
+    amounts = [
         F.coalesce(exact_sum(amount), F.lit(0.0)).alias("total_revenue"),
         F.coalesce(exact_avg(amount), F.lit(0.0)).alias("avg_order_value"),
-    )
+    ]
+    counts = [F.count("*").alias("total_orders"), F.count_if("delivered").alias("delivered_orders")]
+    return marked.agg(*counts, *(amounts if priced else []))
 
 
 def basic_statistics(
     orders: DataFrame, customers: DataFrame, products: DataFrame, delivered: Column
 ) -> DataFrame:
-    """Orders, delivered orders and their share, customers, products, revenue, mean basket."""
-    require_columns(orders, "total_amount")
+    """Orders, delivered orders and their share, customers, products, revenue, mean basket.
+
+    Orders without amounts have no revenue and mean basket.
+    """
     kpis = _delivered_kpis(orders, delivered)
     return kpis.select(
         "total_orders",
@@ -33,20 +36,23 @@ def basic_statistics(
         percent("delivered_orders", "total_orders").alias("delivered_pct"),
         row_count(customers).alias("total_customers"),
         row_count(products).alias("total_products"),
-        "total_revenue",
-        "avg_order_value",
+        *[c for c in ("total_revenue", "avg_order_value") if has_columns(kpis, c)],
     )
 
 
 def summary_report(
     orders: DataFrame, customers: DataFrame, products: DataFrame, delivered: Column
 ) -> DataFrame:
-    """The final report as (metric, value) rows; rates without a base are left out."""
-    require_columns(orders, "customer_id", "total_amount")
+    """The final report as (metric, value) rows; rates without a base are left out.
+
+    So are revenue and basket of orders without amounts, and active customers of orders without customers.
+    """
     # The active customers need a distinct count; apart from the other KPIs it
     # keeps those in a single pass without an expanded aggregate.
-    active = orders.filter(delivered).agg(F.count_distinct("customer_id")).scalar()
-    row = _delivered_kpis(orders, delivered).select(
+    known = has_columns(orders, "customer_id")
+    active = orders.filter(delivered).agg(F.count_distinct("customer_id")).scalar() if known else F.lit(None).cast("bigint")
+    kpis = _delivered_kpis(orders, delivered)
+    row = kpis.select(
         "*",
         row_count(customers).alias("total_customers"),
         row_count(products).alias("total_products"),
@@ -61,9 +67,10 @@ def summary_report(
         "produits_disponibles": F.col("total_products"),
         "clients_actifs": F.when(some, F.col("active_customers")),
         "taux_activation": F.when(some, percent("active_customers", "total_customers")),
-        "chiffre_affaires": F.when(some, F.col("total_revenue")),
-        "panier_moyen": F.when(some, F.col("avg_order_value")),
     }
+    if has_columns(kpis, "total_revenue"):
+        metrics["chiffre_affaires"] = F.when(some, F.col("total_revenue"))
+        metrics["panier_moyen"] = F.when(some, F.col("avg_order_value"))
     pairs = F.array(
         *[F.struct(F.lit(m).alias("metric"), v.cast("double").alias("value")) for m, v in metrics.items()]
     )

@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from basketry.functions.calendar import AsOf, month_key, to_day
+from basketry.functions.calendar import AsOf, dated, month_key, to_day
 from basketry.functions.columns import has_columns, require_columns
-from basketry.functions.money import exact_avg, exact_sum, wide_avg
+from basketry.functions.money import exact_avg, exact_sum
 from basketry.functions.predicates import since_days
 
 
@@ -80,19 +80,18 @@ def best_days(daily: DataFrame, n: int = 5) -> DataFrame:
 def order_day_window(orders: DataFrame) -> DataFrame:
     """Every order with the total and mean amount of its day.
 
-    The window over whole days becomes an aggregate joined back, so order rows
-    are neither shuffled nor sorted. The broadcast side has one row per calendar
-    day: dates run over years 1 to 9999, at most 3.7 million rows of three
-    8-byte fields.
+    The window over whole days becomes an aggregate joined back. Its rows are
+    calendar days, so Spark usually broadcasts them and the orders are neither
+    shuffled nor sorted.
     """
     require_columns(orders, "date", "total_amount")
-    dated = orders.withColumn("date_jour", to_day("date"))
-    per_day = dated.groupBy(F.col("date_jour").alias("day_key")).agg(
+    with_day = orders.withColumn("date_jour", to_day("date"))
+    per_day = with_day.groupBy(F.col("date_jour").alias("day_key")).agg(
         exact_sum("total_amount").alias("total_ventes_day"),
         exact_avg("total_amount").alias("panier_moyen_day"),
     )
     same_day = F.col("date_jour").eqNullSafe(F.col("day_key"))
-    return dated.join(F.broadcast(per_day), same_day, "left").drop("day_key")
+    return with_day.join(per_day, same_day, "left").drop("day_key")
 
 
 def monthly_sales(orders: DataFrame) -> DataFrame:
@@ -121,7 +120,7 @@ def monthly_display(monthly: DataFrame, n: int = 12, shown: int = 6, latest: boo
 def daily_history(orders: DataFrame, days: int = 30, as_of: AsOf = None) -> DataFrame:
     """Daily sales since ``as_of`` minus ``days``."""
     require_columns(orders, "date", "total_amount")
-    recent = orders.filter(since_days("date", days, as_of))
+    recent = dated(orders).filter(since_days("date", days, as_of))
     grouped = recent.groupBy(to_day("date").alias("day")).agg(
         F.coalesce(exact_sum("total_amount"), F.lit(0.0)).alias("daily_sales")
     )
@@ -130,4 +129,4 @@ def daily_history(orders: DataFrame, days: int = 30, as_of: AsOf = None) -> Data
 
 def daily_history_mean(history: DataFrame) -> DataFrame:
     """Mean of the daily sales and the number of days behind it."""
-    return history.agg(wide_avg("daily_sales").alias("hist_avg"), F.count("*").alias("n_days"))
+    return history.agg(exact_avg("daily_sales").alias("hist_avg"), F.count("*").alias("n_days"))

@@ -27,6 +27,12 @@ def share(df: DataFrame, by: str) -> DataFrame:
     return grouped.withColumn("pourcentage", percent_rounded("nombre_commandes", total))
 
 
+def by_count(grouped: DataFrame, count: str, *ties: str) -> DataFrame:
+    """A listing with the largest count first; equal counts by the other columns given."""
+    require_columns(grouped, count, *ties)
+    return grouped.orderBy(F.desc(count), *[F.asc_nulls_last(t) for t in ties])
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     require_columns(df, column)
     return df.select(column).distinct()
@@ -64,7 +70,7 @@ def payment_mix(orders: DataFrame) -> DataFrame:
         amounts = ["montant_total", "panier_moyen"]
         measures += [exact_sum("total_amount").alias(amounts[0]), exact_avg("total_amount").alias(amounts[1])]
     grouped = orders.groupBy("payment_method").agg(*measures)
-    total = row_count(orders)
+    total = total_of(grouped, "nombre_commandes")
     known = F.col("payment_method").isNotNull()
     return grouped.select(
         "payment_method",
@@ -90,7 +96,7 @@ def payment_totals(orders: DataFrame, unknown: str = UNKNOWN_PAYMENT) -> DataFra
         F.coalesce(exact_sum("total_amount"), F.lit(0.0)).alias("total_amount"),
         exact_avg("total_amount").alias("avg_amount"),
     )
-    total = row_count(orders)
+    total = total_of(grouped, "n")
     return grouped.select(
         label_or("payment_method", unknown).alias("payment_method"),
         F.col("n").alias("count"),

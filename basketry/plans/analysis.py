@@ -44,10 +44,12 @@ def run_all(
     delivered: Column | None = None,
     segments=SEGMENTS,
     as_of: AsOf = None,
+    stored_rows: int | None = STORED_ROWS,
 ) -> dict[str, DataFrame]:
     """The batch analysis: the four stored results, their rankings and the reports.
 
-    ``stored(results)`` picks the frames that go to ``analysis_*`` tables.
+    ``stored(results)`` picks the frames that go to ``analysis_*`` tables. Stored customers and products
+    are the first ``stored_rows``; None keeps them all.
     """
     cleaned = clean_orders(orders, delivered, as_of)
     out = {}
@@ -65,17 +67,17 @@ def run_all(
         if has_columns(behavior, "total_depense"):
             behavior = cust.customer_segments(behavior, segments)
             out["segment_summary"] = cust.segment_summary(behavior)
-        out["customer_behavior"] = cust.top_by_orders(behavior, STORED_ROWS)
+        out["customer_behavior"] = cust.top_by_orders(behavior, stored_rows)
         out["top_customers"] = cust.top_by_orders(behavior)
     if has_columns(cleaned, "items"):
         sold = prod.product_sales(documents.explode_items(cleaned.select("items")))
-        out["product_sales"] = prod.top_products_by_count(sold, STORED_ROWS)
+        out["product_sales"] = prod.top_products_by_count(sold, stored_rows)
         out["top_products"] = prod.top_products_by_count(sold)
     elif has_columns(products, "product_id", "name", "price", "category"):
-        out["product_sales"] = prod.product_catalog(products, STORED_ROWS)
+        out["product_sales"] = prod.product_catalog(products, stored_rows)
     if has_columns(orders, "payment_method"):
         out["payment_methods"] = shares.payment_mix(orders)
-    if has_columns(orders, "status", "customer_id", "total_amount"):
+    if has_columns(orders, "status"):
         wanted = delivered_like() if delivered is None else delivered
         out["basic_statistics"] = reports.basic_statistics(orders, customers, products, wanted)
         out["summary_report"] = reports.summary_report(orders, customers, products, wanted)
@@ -89,17 +91,20 @@ def stored(results: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def profile_collection(df: DataFrame, name: str, key: str | None = None) -> dict[str, DataFrame]:
-    """Dimensions, schema, preview, missing values, and what the kind of table adds."""
+    """Dimensions, schema, preview, missing values, and what the kind of table adds; listings by count.
+
+    The preview goes by ``key``, or by all columns that can be ordered.
+    """
     out = {
         "dimensions": profile.collection_profile({name: df}),
         "schema": profile.schema_listing(name, df),
-        "preview": profile.preview(df, key or df.columns[0]),
+        "preview": profile.preview(df, [key] if key else profile.orderable(df)),
         "missing_values": profile.missing_values(df),
     }
     kind = name.lower()
     if kind == "customers":
         if has_columns(df, "location"):
-            out["by_location"] = cust.customers_by_location(df)
+            out["by_location"] = shares.by_count(cust.customers_by_location(df), "Nombre_Clients", "location")
         if has_columns(df, "join_date"):
             out["signup_period"] = profile.period(df, "join_date", "Premier_inscrit", "Dernier_inscrit")
         out["overview"] = cust.customer_overview(df)
@@ -107,9 +112,9 @@ def profile_collection(df: DataFrame, name: str, key: str | None = None) -> dict
         if has_columns(df, "total_amount"):
             out["statistics"] = reports.order_statistics(df)
             if has_columns(df, "status"):
-                out["by_status"] = shares.status_distribution(df)
+                out["by_status"] = shares.by_count(shares.status_distribution(df), "nombre", "status")
             if has_columns(df, "payment_method"):
-                out["by_payment"] = shares.payment_distribution(df)
+                out["by_payment"] = shares.by_count(shares.payment_distribution(df), "nombre", "payment_method")
         if has_columns(df, "date"):
             out["order_period"] = profile.period(df, "date", "Premiere_commande", "Derniere_commande")
         if has_columns(df, "items", "order_id"):
@@ -120,7 +125,7 @@ def profile_collection(df: DataFrame, name: str, key: str | None = None) -> dict
         for column in ("category", "available"):
             counts = prod.category_distribution(df, column)
             if counts is not None:
-                out[f"by_{column}"] = counts
+                out[f"by_{column}"] = shares.by_count(counts, counts.columns[1], column)
     return out
 
 
@@ -132,36 +137,50 @@ def dashboard(
     as_of: AsOf = None,
     delivered: Column | None = None,
     history_days: int = 30,
+    latest_months: bool = False,
 ) -> dict[str, DataFrame]:
-    """The data behind every dashboard panel."""
+    """The data behind every dashboard panel; panels whose columns are missing are left out.
+
+    Nothing runs before a panel is used. ``latest_months`` shows the most recent months instead of the
+    oldest ones.
+    """
+    out: dict[str, DataFrame] = {}
+
+    def panel(name: str, build, *needs: str) -> None:
+        if has_columns(orders, *needs):
+            out[name] = build()
+
     wanted = delivered_regex() if delivered is None else delivered
+    panel("statuses", lambda: shares.status_counts(orders), "status")
+    panel("payments", lambda: shares.payment_totals(orders), "payment_method", "total_amount")
+    panel("payments_chart", lambda: shares.payment_totals(orders, unknown=OTHER_PAYMENT), "payment_method", "total_amount")
+    if delivered is None and not has_columns(orders, "status"):
+        return out | _forecast_panels(predictions, None, None)
     done = orders.filter(wanted)
-    history = sales.daily_history(done, history_days, as_of)
-    monthly = sales.monthly_sales(done)
-    out = {
-        "summary": reports.basic_statistics(orders, customers, products, wanted),
-        "revenue": reports.delivered_revenue(done),
-        "top_customers": cust.top_customers(done, customers),
-        "top_customer_labels": cust.top_customer_labels(done, customers),
-        "payments": shares.payment_totals(orders),
-        "payments_chart": shares.payment_totals(orders, unknown=OTHER_PAYMENT),
-        "months": sales.monthly_first(monthly),
-        "months_shown": sales.monthly_display(monthly),
-        "amount_histogram": distribution.histogram(done),
-        "amount_center": distribution.amount_center(done),
-        "statuses": shares.status_counts(orders),
-        "history": history,
-    }
-    if has_columns(orders, "items"):
-        out["top_products"] = prod.top_products_by_revenue(documents.explode_items(done.select("items")))
-    if predictions is not None:
-        summary = fc.forecast_summary(predictions)
-        out |= {
-            "predictions": fc.read_forecast(predictions).orderBy("predicted_date"),
-            "forecast_summary": summary,
-            "forecast_trend": fc.forecast_trend(summary, done),
-            "forecast_vs_history": fc.forecast_vs_history(predictions, history),
-        }
+    months = lambda: sales.monthly_sales(done)
+    panel("summary", lambda: reports.basic_statistics(orders, customers, products, wanted))
+    panel("revenue", lambda: reports.delivered_revenue(done), "total_amount")
+    panel("top_customers", lambda: cust.top_customers(done, customers), "customer_id", "total_amount")
+    panel("top_customer_labels", lambda: cust.top_customer_labels(done, customers), "customer_id", "total_amount")
+    panel("months", lambda: sales.monthly_first(months(), latest=latest_months), "date", "total_amount")
+    panel("months_shown", lambda: sales.monthly_display(months(), latest=latest_months), "date", "total_amount")
+    panel("amount_histogram", lambda: distribution.histogram(done), "total_amount")
+    panel("amount_center", lambda: distribution.amount_center(done), "total_amount")
+    panel("history", lambda: sales.daily_history(done, history_days, as_of), "date", "total_amount")
+    panel("top_products", lambda: prod.top_products_by_revenue(documents.explode_items(done.select("items"))), "items")
+    priced = done if has_columns(orders, "total_amount") else None
+    return out | _forecast_panels(predictions, priced, out.get("history"))
+
+
+def _forecast_panels(predictions: DataFrame | None, done: DataFrame | None, history: DataFrame | None) -> dict[str, DataFrame]:
+    if predictions is None:
+        return {}
+    summary = fc.forecast_summary(predictions)
+    out = {"predictions": fc.read_forecast(predictions).orderBy("predicted_date"), "forecast_summary": summary}
+    if done is not None:
+        out["forecast_trend"] = fc.forecast_trend(summary, done)
+    if history is not None:
+        out["forecast_vs_history"] = fc.forecast_vs_history(predictions, history)
     return out
 
 

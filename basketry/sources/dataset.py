@@ -7,7 +7,6 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketry.operators.skew import skew_join
 from basketry.schemas import STAR_TABLES
 from basketry.sources.readers import load_table
 
@@ -69,7 +68,8 @@ class Dataset:
             .agg(F.min("ts").alias("join_date"))
         )
         return (
-            skew_join(self._table("customer"), nations, "c_nationkey")
+            self._table("customer")
+            .join(nations, "c_nationkey", "left")
             .join(signups, "c_custkey", "left")
             .select(
                 F.col("c_custkey").alias("customer_id"),

@@ -41,28 +41,41 @@ def load_first(
     spark: SparkSession,
     candidates: Iterable[Mapping[str, Any]],
     schema: StructType | str,
+    failed: list[str] | None = None,
 ) -> DataFrame:
     """The first candidate (keyword arguments of ``load_table``) that resolves.
 
-    When none does the result is empty but typed, so later operators still plan.
+    When none does the result is empty but typed, so later operators still plan; ``failed`` then gets
+    the last reason.
     """
+    reason = "no candidate"
     for candidate in candidates:
         try:
             return load_table(spark, **{"schema": schema, **candidate})
         except READ_ERRORS as error:
-            log.warning("source %s not readable: %s", dict(candidate), str(error).splitlines()[0])
+            reason = str(error).splitlines()[0]
+            log.warning("source %s not readable: %s", dict(candidate), reason)
+    if failed is not None:
+        failed.append(reason)
     return spark.createDataFrame([], schema)
 
 
 def load_collections(
-    spark: SparkSession, locate: Iterable[Callable[[str], Mapping[str, Any]]]
+    spark: SparkSession, locate: Iterable[Callable[[str], Mapping[str, Any]]], missing: list[str] | None = None
 ) -> dict[str, DataFrame]:
     """Orders, products and customers, each from the first way of locating it that works.
 
-    A locator turns a collection name into keyword arguments of ``load_table``.
+    A locator turns a collection name into keyword arguments of ``load_table``. Names of collections
+    that no way leads to, and which are empty therefore, are added to ``missing``.
     """
     ways = list(locate)
-    return {name: load_first(spark, [way(name) for way in ways], schema) for name, schema in COLLECTIONS.items()}
+    found = {}
+    for name, schema in COLLECTIONS.items():
+        failed: list[str] = []
+        found[name] = load_first(spark, [way(name) for way in ways], schema, failed)
+        if missing is not None and failed:
+            missing.append(name)
+    return found
 
 
 def table_exists(spark: SparkSession, name: str, fmt: str | None = None) -> bool:

@@ -49,6 +49,9 @@ def test_run_all_without_optional_columns(shop):
     orders, products, customers = shop
     results = analysis.run_all(orders.drop("items", "total_amount", "status", "payment_method"), products, customers)
     assert "payment_methods" not in results and "summary_report" not in results
+    fewer = analysis.run_all(orders.drop("total_amount", "customer_id"), products, customers)
+    assert one(fewer["basic_statistics"]).keys() == {"total_orders", "delivered_orders", "delivered_pct", "total_customers", "total_products"}
+    assert {r.metric for r in fewer["summary_report"].collect()} == {"commandes_totales", "commandes_nettoyees", "taux_utilisation", "clients_inscrits", "produits_disponibles"}
     assert results["product_sales"].columns == ["product_id", "name", "price", "category"]
     assert results["customer_behavior"].columns == ["customer_id", "nombre_commandes", "jours_achat"]
 
@@ -142,3 +145,29 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     plan = physical(spark, sf_dir, "monthly_sales")
     assert "StringContains(o_orderstatus,F)" in plan
     assert "ReadSchema: struct<o_orderstatus:string,o_totalprice:double,o_orderdate:timestamp_ntz>" in plan
+
+
+@pytest.mark.parametrize("column", ["payment_method", "status", "total_amount", "customer_id", "date", "items"])
+def test_dashboard_without_a_column(shop, column):
+    orders, products, customers = shop
+    panels = analysis.dashboard(orders.drop(column), customers, products, as_of=AS_OF, latest_months=True)
+    assert panels
+    for panel in panels.values():
+        panel.collect()
+    assert ("summary" in panels) == (column != "status")
+
+
+def test_customers_without_names_and_forecasts_without_a_model(shop, spark):
+    orders, products, customers = shop
+    panels = analysis.dashboard(orders, customers.drop("name"), products, as_of=AS_OF)
+    assert all(r.client_name.startswith("Client ") for r in panels["top_customers"].collect())
+    stored = spark.createDataFrame([("p", "2024-03-02", 5.0)], "prediction_id string, predicted_date string, predicted_sales double")
+    assert analysis.dashboard(orders, customers, products, stored, AS_OF)["forecast_summary"].count() == 1
+
+
+def test_all_rows_can_be_stored_and_listings_go_by_count(shop):
+    orders, products, customers = shop
+    assert analysis.run_all(orders, products, customers, stored_rows=None)["customer_behavior"].count() == 4
+    assert analysis.run_all(orders, products, customers, stored_rows=1)["customer_behavior"].count() == 1
+    counts = [r.nombre for r in analysis.profile_collection(orders, "orders")["by_status"].collect()]
+    assert counts == sorted(counts, reverse=True)

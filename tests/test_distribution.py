@@ -55,3 +55,18 @@ def test_histogram_matches_numpy(spark, values):
 
 def test_histogram_of_nothing(spark):
     assert histogram(frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("odd", [float("inf"), float("-inf"), float("nan"), None])
+def test_amounts_off_the_axis_take_no_part(spark, odd):
+    df = frame(spark, [1.0, 2.0, odd])
+    assert one(amount_center(df)) == {"mean_amount": 1.5, "median_amount": 1.5}
+    assert sum(r.n for r in histogram(df).collect()) == 2
+    assert exact_median(frame(spark, [odd, odd])) is None
+
+
+def test_median_of_many_rows_needs_two_passes(spark):
+    df = spark.range(400_001).selectExpr("cast((id * 7919) % 400001 as double) as total_amount")
+    assert exact_median(df) == 200_000.0
+    plan = amount_center(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("percentile_approx") >= 1

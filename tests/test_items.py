@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry.operators import documents, products as prod
-from basketry.operators.skew import find_hot_keys
 from conftest import ITEM, one, rows_of
 
 DOC_FIELDS = f"order_id string, status string, items array<{ITEM}>"
@@ -97,37 +96,64 @@ def flat(spark):
     return orders, lines
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 50])
-@pytest.mark.parametrize("max_items", [10_000, 7])
-def test_documents_hold_every_line(flat, catalogue, hot_rows, max_items):
+@pytest.mark.parametrize("split", [None, 7, 10_000])
+def test_documents_hold_every_line(flat, catalogue, split):
     orders, lines = flat
-    docs = documents.order_documents(orders, lines, catalogue, max_items, hot_rows).cache()
-    assert docs.select(F.max(F.size("items"))).first()[0] <= max_items
+    docs = documents.order_documents(orders, lines, catalogue, split).cache()
     assert docs.count() == docs.select("order_id", "part").distinct().count()
     back = documents.explode_items(docs).drop("date")
     assert rows_of(back) == rows_of(documents.item_lines(lines, catalogue))
     totals = docs.groupBy("order_id").agg(F.sum(F.size("items")).alias("n"), F.round(F.sum("items_total"), 4).alias("t"))
     assert rows_of(totals) == rows_of(documents.order_item_totals(orders, lines, catalogue))
-    empty = docs.filter("order_id = 'o39'").collect()
-    assert [(r.part, r["items"], r.items_total) for r in empty] == [(0, [], 0.0)]
+    empty = docs.filter(F.size("items") == 0).collect()
+    assert [(r.order_id, r.part, r["items"], r.items_total) for r in empty] == [("o39", 0, [], 0.0)]
+    if split != 7:
+        assert docs.count() == 40
     docs.unpersist()
 
 
-def test_hot_order_is_spread(flat, catalogue):
+def test_documents_do_not_depend_on_the_cluster(flat, catalogue, spark):
     orders, lines = flat
-    assert find_hot_keys(lines, "order_id", 50).values == ("o0",)
-    docs = documents.order_documents(orders, lines, catalogue, min_hot_rows=50)
-    parts = docs.filter("order_id = 'o0'").select("part", F.size("items").alias("n")).collect()
-    total = sum(p.n for p in parts)
-    assert len(parts) > 4 and max(p.n for p in parts) < total / 2
+    key, found = "spark.sql.shuffle.partitions", []
+    before = spark.conf.get(key)
+    for partitions, given in ((3, lines), (8, lines.repartition(5)), (200, lines.repartition(2, "product_id"))):
+        spark.conf.set(key, str(partitions))
+        found.append(rows_of(documents.order_documents(orders, given, catalogue, 100)))
+    spark.conf.set(key, before)
+    assert found[0] == found[1] == found[2]
 
 
-def test_hot_order_without_lines_of_its_own_is_kept(flat, catalogue):
+def test_preview_of_split_documents(spark, catalogue, flat):
     orders, lines = flat
-    some = lines.filter("order_id <> 'o0'")
-    docs = documents.order_documents(orders, some, catalogue, min_hot_rows=50, keys_from=lines)
-    assert docs.select("order_id").distinct().count() == 40
-    assert [r["items"] for r in docs.filter("order_id = 'o0'").collect()] == [[]]
+    whole = documents.order_documents(orders, lines, catalogue)
+    split = documents.order_documents(orders, lines, catalogue, 10)
+    shown = documents.document_item_preview(split, 3, 2)
+    assert [(r.order_id, r.position) for r in shown.orderBy("order_id", "position").collect()] == [(o, p) for o in ("o0", "o1", "o10") for p in (1, 2)]
+    assert documents.document_item_preview(whole, 3, 2).count() == 6
+
+
+def test_item_queries_need_no_window_and_run_nothing_early(spark, sf_dir):
+    from basketry.plans.catalog import QUERIES
+
+    plan = QUERIES["exploded_items"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+
+
+def test_a_hot_product_is_split_by_adaptive_execution(spark, no_broadcast):
+    lines = spark.range(200_000).select(F.col("id").cast("string").alias("order_id"), F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 5_000).alias("product_id"), F.lit(1).alias("quantity"))
+    products = spark.range(5_000).select(F.col("id").alias("product_id"), F.lit("n").alias("name"), F.lit(1.0).alias("price"))
+    settings = {"skewedPartitionThresholdInBytes": "64k", "skewedPartitionFactor": "1.5"}
+    for k, v in settings.items():
+        spark.conf.set(f"spark.sql.adaptive.skewJoin.{k}", v)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    joined = documents.item_lines(lines, products)
+    joined.write.format("noop").mode("overwrite").save()
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    for k in settings:
+        spark.conf.unset(f"spark.sql.adaptive.skewJoin.{k}")
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert "skew=true" in plan
 
 
 def test_items_are_ordered_and_totalled(spark, catalogue):

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from basketry.plans.catalog import QUERIES
+from basketry.plans.oracle import ORACLE
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -26,7 +28,7 @@ def test_entry_has_rows(spark):
     assert entry_module.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("key", sorted(entry_module.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(ORACLE))
 def test_same_as_oracle(key, spark, sf_dir, duck):
     df = entry_module.queries()[key](spark, sf_dir)
     cursor = duck.execute(entry_module.oracle_sql()[key])
@@ -41,6 +43,6 @@ def test_same_as_oracle(key, spark, sf_dir, duck):
     assert [type(v) for v in ours[-1]] == [type(v) for v in sorted(expected, key=by_text)[-1]]
 
 
-@pytest.mark.parametrize("key", sorted(set(entry_module.queries()) - set(entry_module.oracle_sql())))
+@pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLE)))
 def test_other_queries_have_rows(key, spark, sf_dir):
     assert not entry_module.queries()[key](spark, sf_dir).isEmpty()
