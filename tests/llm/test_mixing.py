@@ -91,3 +91,9 @@ def test_topics_of_forms(spark):
     texts = {"empty": " ", "table": "a | b | c | d", "figures": "in 1998 and 2004 it was", "list": "one\ntwo\nthree", "prose": "word " * 40, "speech": "Who? Me! " + "x" * 90}
     df = spark.createDataFrame(list(texts.items()), "name string, text string")
     assert all(r[0] == r[1] for r in df.select("name", mixing.form_topic(F.col("text"))).collect())
+
+
+def test_token_estimates(spark):
+    texts = ["", " ", "a", " a", "a ", " a  b\t\n", "\n\n", "a\x0bb\x0cc\rd", "é\u00a0b c"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert [r[0] for r in df.select(mixing.token_estimate(F.col("text"))).collect()] == [len(re.findall(r"[^\x20\x09-\x0D]+", t)) + 1 for t in texts]
