@@ -22,6 +22,7 @@ CLIENT_PREFIX = "Client "
 # Forecast records and their comparison with history.
 FEATURES = ("day", "weekday", "month")
 MODEL_NAME = "LinearRegression"
+BASELINE_NAME = "weekday_mean"
 PREDICTION_PREFIX = "PRED-"
 TREND_UP, TREND_DOWN = "HAUSSE", "BAISSE"
 ARROW_UP, ARROW_DOWN = "↗", "↘"

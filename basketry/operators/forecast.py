@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from basketry.constants import (
     ARROW_DOWN,
     ARROW_UP,
+    BASELINE_NAME,
     FEATURES,
     L1_RATIO,
     MAX_ITER,
@@ -77,7 +78,8 @@ def fit_model(
     and only those reach the solver. The solver scales its L2 penalty by the
     label's standard deviation, which is smaller between combinations than
     between rows; the penalty is adjusted by that ratio so that the coefficients
-    are those of the row-level fit.
+    are those of the row-level fit. Variances are sums of doubles, so the last
+    digits of the coefficients may differ between runs.
     """
     usable = features.dropna(subset=[*FEATURES, "total_amount"])
     cells = (
@@ -151,6 +153,22 @@ def forecast(model: PipelineModel, calendar: DataFrame, created_at: AsOf = None)
     )
 
 
+def weekday_forecast(rows: DataFrame, calendar: DataFrame, created_at: AsOf = None) -> DataFrame:
+    """Forecast records from the mean amount of each weekday, to two decimals: a baseline for the linear model."""
+    means = training_features(rows).groupBy("weekday").agg(F.round(exact_avg("total_amount"), 2).alias("predicted_sales"))
+    return calendar.join(means, "weekday", "left").select(
+        "prediction_id",
+        "predicted_date",
+        "predicted_sales",
+        "day",
+        "month",
+        F.col("weekday_name").alias("weekday"),
+        F.lit(BASELINE_NAME).alias("model"),
+        F.array(F.lit("weekday")).alias("features_used"),
+        F.date_format(as_of_column(created_at), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("created_at"),
+    )
+
+
 def split_holdout(rows: DataFrame, key: str = "order_id", folds: int = 5) -> tuple[DataFrame, DataFrame]:
     """Deterministic (train, test) split: one fold of the hashed key is held out."""
     held_out = F.pmod(F.xxhash64(key), F.lit(folds)) == 0
@@ -198,8 +216,8 @@ def forecast_summary(predictions: DataFrame) -> DataFrame:
         predictions = predictions.withColumn("model", F.lit(MODEL_NAME))
     return predictions.groupBy("model").agg(
         F.count("*").alias("n_days"),
-        F.sum("predicted_sales").alias("total_predicted"),
-        F.avg("predicted_sales").alias("avg_predicted"),
+        exact_sum("predicted_sales").alias("total_predicted"),
+        exact_avg("predicted_sales").alias("avg_predicted"),
     )
 
 
@@ -222,7 +240,7 @@ def forecast_trend(summary: DataFrame, delivered_orders: DataFrame) -> DataFrame
 
 def forecast_vs_history(predictions: DataFrame, history: DataFrame) -> DataFrame:
     """Mean forecast against the mean of recent daily sales; no row without history."""
-    forecast_mean = predictions.agg(F.avg("predicted_sales")).scalar()
+    forecast_mean = predictions.agg(exact_avg("predicted_sales")).scalar()
     change = (F.col("pred_avg") - F.col("hist_avg")) / F.col("hist_avg") * 100
     return (
         history.agg(exact_avg("daily_sales").alias("hist_avg"))

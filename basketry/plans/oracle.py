@@ -1,7 +1,7 @@
 """Plain SQL with the same results as the catalogue, for checking it on another engine.
 
 Amounts are summed as decimals, so the totals do not depend on row order.
-Queries without an entry (model fits, nested arrays) have no SQL counterpart.
+Queries without an entry fit a model with an iterative solver; tests compare them with a row-level fit.
 """
 
 from __future__ import annotations
@@ -299,6 +299,17 @@ SELECT '{{"order_id":' || o_orderkey || ',"customer_id":' || o_custkey
        || '","total_amount":' || CAST(o_totalprice AS VARCHAR)
        || ',"payment_method":"' || o_orderpriority || '","status":"' || o_orderstatus
        || '","items":[' || COALESCE(items, '') || ']}}' AS json
+FROM orders LEFT JOIN docs ON order_id = o_orderkey""",
+    "order_documents": f"""
+WITH docs AS (
+  SELECT order_id, string_agg('{{"product_id":' || product_id || ',"name":"' || name || '","price":'
+           || CAST(price AS VARCHAR) || ',"quantity":' || CAST(quantity AS VARCHAR) || '}}',
+           ',' ORDER BY product_id, name, price, quantity) AS items,
+         {money("price * quantity")} AS items_total
+  FROM ({ITEMS}) GROUP BY order_id)
+SELECT o_orderkey AS order_id, CAST(0 AS BIGINT) AS part, o_custkey AS customer_id, o_orderdate AS date,
+       o_totalprice AS total_amount, o_orderpriority AS payment_method, o_orderstatus AS status,
+       '[' || COALESCE(items, '') || ']' AS items, COALESCE(items_total, 0) AS items_total
 FROM orders LEFT JOIN docs ON order_id = o_orderkey""",
     "exploded_items": DELIVERED_ITEMS,
     "order_item_totals": f"""
@@ -323,6 +334,33 @@ SELECT 'PRED-' || strftime(d, '%Y%m%d') AS prediction_id, d AS predicted_date, {
 FROM (SELECT CAST(MAX(o_orderdate) AS DATE) + CAST(range AS INTEGER) AS d FROM orders, range(1, 8) GROUP BY range)""",
 }
 
+# A stored forecast: the mean amount of each weekday over the future calendar.
+STORED = f"""
+SELECT prediction_id, predicted_date, predicted_sales, day, month, weekday_name AS weekday, 'weekday_mean' AS model
+FROM ({ORACLE["future_calendar"]}) LEFT JOIN (
+  SELECT weekday, round({mean("total_amount")}, 2) AS predicted_sales
+  FROM ({ORACLE["training_features"]}) GROUP BY weekday) USING (weekday)"""
+
+FORECAST_SUMMARY = f"""
+SELECT model, COUNT(*) AS n_days, {money("predicted_sales")} AS total_predicted, {mean("predicted_sales")} AS avg_predicted
+FROM ({STORED}) GROUP BY model"""
+
+ORACLE |= {
+    "weekday_forecast": STORED,
+    "next_predictions": f"""
+SELECT prediction_id, predicted_date, predicted_sales FROM ({STORED}) ORDER BY predicted_date, prediction_id LIMIT 5""",
+    "forecast_summary": FORECAST_SUMMARY,
+    "forecast_trend": f"""
+SELECT model, avg_predicted, historical_avg, abs((avg_predicted - historical_avg) / historical_avg * 100) AS diff_pct,
+       CASE WHEN (avg_predicted - historical_avg) / historical_avg * 100 > 0 THEN 'HAUSSE' ELSE 'BAISSE' END AS trend
+FROM ({FORECAST_SUMMARY}), (SELECT {AVG} AS historical_avg FROM ({DELIVERED})) WHERE historical_avg > 0""",
+    "forecast_vs_history": f"""
+SELECT hist_avg, pred_avg, CASE WHEN hist_avg > 0 THEN abs((pred_avg - hist_avg) / hist_avg * 100) END AS diff_pct,
+       CASE WHEN hist_avg > 0 THEN CASE WHEN (pred_avg - hist_avg) / hist_avg * 100 > 0 THEN '↗' ELSE '↘' END END AS direction
+FROM (SELECT {wide("daily_sales")} / COUNT(daily_sales) AS hist_avg FROM ({HISTORY})),
+     (SELECT {mean("predicted_sales")} AS pred_avg FROM ({STORED})) WHERE hist_avg IS NOT NULL""",
+}
+
 for _key, _test in {
     "delivered_like": "o_orderstatus LIKE '%F%'",
     "delivered_contains": "o_orderstatus = 'F' OR contains(o_orderstatus, 'F')",
