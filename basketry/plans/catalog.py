@@ -143,6 +143,11 @@ def status_distribution(d: Dataset) -> DataFrame:
     return shares.status_distribution(d.orders)
 
 
+@query
+def statuses_by_count(d: Dataset) -> DataFrame:
+    return shares.by_count(shares.status_counts(d.orders), "count", "status")
+
+
 @query
 def status_counts(d: Dataset) -> DataFrame:
     return shares.status_counts(d.orders)

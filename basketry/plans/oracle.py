@@ -346,6 +346,7 @@ SELECT model, COUNT(*) AS n_days, {money("predicted_sales")} AS total_predicted,
 FROM ({STORED}) GROUP BY model"""
 
 ORACLE |= {
+    "statuses_by_count": ORACLE["status_counts"],
     "weekday_forecast": STORED,
     "next_predictions": f"""
 SELECT prediction_id, predicted_date, predicted_sales FROM ({STORED}) ORDER BY predicted_date, prediction_id LIMIT 5""",
