@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 
+import duckdb
 import numpy as np
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from basketry.llm import block_search
-from basketry.llm.catalog import QUERIES
+from basketry.llm.catalog import ORACLE, QUERIES
 
 FIELDS = "vec_id long, embedding array<float>, id long, v int"
 
@@ -27,6 +28,9 @@ def test_whole_table(spark, sf_dir):
     table = pq.read_table(f"{sf_dir}/embeddings.parquet").to_pydict()
     expected = plain(list(zip(table["vec_id"], table["embedding"])), 10, lambda i: i % 100 == 0)
     assert sorted(tuple(r) for r in QUERIES["op7_block_search"](spark, sf_dir).collect()) == expected
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{sf_dir}/embeddings.parquet'")
+    assert sorted(con.execute(ORACLE["op7_block_search"]).fetchall()) == expected
 
 
 def test_edge_cases(spark, monkeypatch):
