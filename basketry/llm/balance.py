@@ -5,9 +5,11 @@ largest spread are combined again and again, one in descending and one in ascend
 sums, until one is left. The buckets' partial partitions are combined in the same way, level by
 level, the last one on the driver over at most ``FAN`` rows.
 
-A group above a fixed part of a shard's share could outweigh its whole bucket. Such groups are few
-(``LARGE`` per shard at most); they are placed first, and every bucket starts from its proportion of
-their sums, so that all buckets together make up for them.
+A group above a fixed part of a bucket's share of a shard could outweigh its bucket, and the excesses of
+many buckets would add up. Such groups are few (``LARGE`` per shard and bucket at most); they are placed
+first, all together, and every bucket starts from its proportion of their sums, so that all buckets
+together make up for them. The buckets go in waves of falling size; each starts from what stands after
+the waves before, so what these leave uneven does not add up.
 """
 
 from __future__ import annotations
@@ -23,8 +25,8 @@ from basketry.llm.scratch import written
 #: Partial partitions combined in one task or on the driver.
 FAN = 4096
 GROUPS_PER_BUCKET = 16_384
-#: Large groups hold more than a shard's share divided by this.
-LARGE = 64
+#: Large groups hold more than a bucket's share of a shard divided by this; so many are placed on the driver.
+LARGE, ON_DRIVER = 64, 32_768
 ROWS_PER_RANGE = 16_384
 
 
@@ -95,6 +97,41 @@ def _by_levels(parts: DataFrame, nodes: int, k: int) -> DataFrame:
     return placed.join(F.broadcast(final), ["node", "shard"]).select("member", F.col("final").alias("shard"))  # FAN x k rows at most
 
 
+def _placed(groups: DataFrame, n: int, total: int, k: int) -> DataFrame:
+    """(member, shard) of n groups: member, bytes."""
+    nodes = max(1, -(-n // GROUPS_PER_BUCKET))
+    is_large = F.col("bytes").cast("decimal(38,0)") * (LARGE * k * nodes) > F.lit(total)
+    large = groups.where(is_large)
+    many, of_large = large.agg(F.count(F.lit(1)), F.sum("bytes")).first()
+    empty = F.array_repeat(F.lit(0).cast("long"), k - 1)
+    parts = lambda rows, m: rows.select(F.pmod("member", F.lit(m)).alias("node"), "member", F.concat(F.array("bytes"), empty).alias("sums"))
+    if not many:
+        return _by_levels(parts(groups, nodes), nodes, k)
+    if many <= ON_DRIVER:
+        rows = large.orderBy("member").collect()
+        base, placed = differencing(np.array([[r["bytes"]] + [0] * (k - 1) for r in rows], np.int64))
+        base = base.tolist()
+        first = groups.sparkSession.createDataFrame([(r["member"], int(p[0])) for r, p in zip(rows, placed)], "member long, shard int")
+    else:  # more than half are large only with very many shards: then no bucket is finer than another
+        first = written(_placed(large, many, of_large, k) if 2 * many < n else _by_levels(parts(large, nodes), nodes, k), "large-groups")
+        base = [0] * k
+        for r in large.join(first, "member").groupBy("shard").agg(F.sum("bytes").alias("bytes")).collect():  # one per shard
+            base[r["shard"]] = r["bytes"]
+    placed, begin, left = first.select("member", F.col("shard").cast("int")), 0, total - of_large
+    small = groups.where(~is_large)
+    while begin < nodes:
+        upto = begin + max(1, (nodes - begin) * 7 // 8)
+        now = small.where(F.pmod("member", F.lit(nodes)).between(begin, upto - 1))
+        out = _combined(parts(now, nodes), k, base, max(1, left)).where("member is not null")
+        found = out.select("member", F.col("places")[0].cast("int").alias("shard"))
+        if upto < nodes:
+            for r in now.join(found, "member").groupBy("shard").agg(F.sum("bytes").alias("bytes")).collect():  # one per shard
+                base[r["shard"]] += r["bytes"]
+                left -= r["bytes"]
+        placed, begin = placed.union(found), upto
+    return placed
+
+
 def shards_by_bytes(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id, size (UTF-8 bytes + 1), text_crc32, shard, slot (gapless within its shard).
 
@@ -111,21 +148,9 @@ def shards_by_bytes(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id",
     sized = written(sized, "sizes")
     # Texts that share a 64-bit hash would stay together too, which the law allows.
     groups = sized.groupBy("member").agg(F.sum("size").alias("bytes"))
-    empty = F.array_repeat(F.lit(0).cast("long"), n_shards - 1)
     counted = written(groups, "groups")
     n, total = counted.agg(F.count(F.lit(1)), F.sum("bytes")).first()
-    is_large = F.col("bytes") * (LARGE * n_shards) > F.lit(total)
-    large = counted.where(is_large).orderBy("member").collect()  # fewer than LARGE x n_shards
-    nodes = max(1, -(-n // GROUPS_PER_BUCKET))
-    level = counted.where(~is_large).select(F.pmod("member", F.lit(nodes)).alias("node"), "member", F.concat(F.array("bytes"), empty).alias("sums"))
-    make = docs.sparkSession.createDataFrame
-    if large:
-        base, placed = differencing(np.array([[r["bytes"]] + [0] * (n_shards - 1) for r in large], np.int64))
-        out = _combined(level, n_shards, base.tolist(), max(1, total - sum(r["bytes"] for r in large)))
-        of_large = make([(r["member"], int(p[0])) for r, p in zip(large, placed)], "member long, shard int")
-        shard_of = out.where("member is not null").select("member", F.col("places")[0].cast("int").alias("shard")).union(of_large)
-    else:
-        shard_of = _by_levels(level, nodes, n_shards)
+    shard_of = _placed(counted, n, total or 0, n_shards)
     rows = sized.join(shard_of, "member").select("id", "size", "crc", "shard")
     ranges = max(1, -(-sized.count() // ROWS_PER_RANGE))
     rows = written(rows.withColumn("range", F.pmod(F.xxhash64("id", "crc"), F.lit(ranges))), "placed")

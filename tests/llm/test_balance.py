@@ -53,6 +53,17 @@ def test_many_buckets_and_a_hot_group(docs_of, monkeypatch):
     assert max(size) < 1.1 * sum(size) / 8
 
 
+@pytest.mark.parametrize("on_driver", [32_768, 10])
+def test_a_hot_group_and_middle_groups_over_many_buckets(docs_of, monkeypatch, on_driver):
+    """A middle group outweighs its bucket's share of a shard; the excesses must not add up in one shard."""
+    monkeypatch.setattr(balance, "GROUPS_PER_BUCKET", 16)
+    monkeypatch.setattr(balance, "LARGE", 2)
+    monkeypatch.setattr(balance, "ON_DRIVER", on_driver, raising=False)
+    rows = [(i, f"{i:05d}" + "s" * (i % 17)) for i in range(1600)] + [(2000 + i, f"{i:02d}" * 45) for i in range(60)] + [(3000, "h" * 2_600)]
+    size = hold(rows, balance.shards_by_bytes(docs_of(rows)).collect())
+    assert max(size) < 1.02 * sum(size) / 8
+
+
 def test_many_levels(docs_of, monkeypatch):
     monkeypatch.setattr(balance, "GROUPS_PER_BUCKET", 5)
     monkeypatch.setattr(balance, "FAN", 3)
