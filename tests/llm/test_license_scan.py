@@ -1,0 +1,81 @@
+"""License scans: against SQL on the whole table, and planted copies with words changed, put in and left out."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+
+from basketry.llm.catalog import ORACLE, QUERIES
+from basketry.llm.license_scan import PHRASES, TEMPLATES, license_labels, license_scan
+from tests.llm.conftest import EDGES, matches_sql
+
+
+def plain_words(text):
+    small = re.sub("[A-Z]+", lambda m: m.group().lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", small)
+
+
+def plain_places(words):
+    return sorted((i, label) for label, p in PHRASES.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split())
+
+
+def test_whole_table_against_sql(spark, sf_dir):
+    rows = matches_sql(spark, sf_dir, QUERIES["op11_license_scan"], ORACLE["op11_license_scan"])
+    assert sum(r["n_base"] > 0 for r in rows) > 20 and any("apache-2.0" in r["labels"].split(",") for r in rows)
+
+
+def test_no_python_in_the_plan(spark, sf_dir):
+    plan = QUERIES["op11_license_scan"](spark, sf_dir)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+    assert plan.count("Exchange hashpartitioning(row") == 1
+
+
+def test_places_and_edge_cases(spark, docs_of):
+    cases = [*EDGES, (20, "GNU  General\nPublic-License mit license MIT License"), (21, "apache"), (22, "gnu general public"), (23, "CC BY cc by, Kernel CC BY"), (24, "cc by " * 30_000), (25, "x cc by")]
+    scanned = license_scan(docs_of(cases)).collect()
+    plain = [(d, len(plain_words(t)), plain_places(plain_words(t))) for d, t in cases]
+    assert sorted(((r["doc_id"], r["n_words"], [tuple(x) for x in r["places"]]) for r in scanned), key=str) == sorted(plain, key=str)
+    digest = {r["doc_id"]: r for r in license_labels(license_scan(docs_of(cases))).collect()}
+    assert digest[20]["base_labels"] == "gpl,mit" and (digest[20]["first_word"], digest[20]["last_word"]) == (0, 6)
+    assert digest[21]["first_word"] is None and digest[21]["labels"] == "" and digest[21]["score"] == 0.0
+    assert digest[24]["n_base"] == 30_000 and digest[24]["last_word"] == 59_998
+    assert license_scan(docs_of(cases).limit(0)).count() == 0
+
+
+@pytest.fixture(scope="module")
+def permission():
+    return plain_words(TEMPLATES["mit"][1])
+
+
+def labels_of(spark, docs_of, texts):
+    rows = license_labels(license_scan(docs_of(list(enumerate(texts))))).collect()
+    return [r["labels"] for r in sorted(rows, key=lambda r: r["doc_id"])]
+
+
+def test_changed_copies(spark, docs_of, permission):
+    filler = ["foo"] * 50
+    put_in = [*permission[:20], "really", *permission[20:40], "so", "it", "seems", *permission[40:]]
+    left_out = [w for i, w in enumerate(permission) if i not in (11, 12, 30)]
+    other = [*permission[:25], "changed", *permission[26:]]
+    half = permission[: len(permission) // 2]
+    scattered = [w for i in range(0, len(permission) - 3, 3) for w in [*permission[i : i + 3], *["gap"] * 9]]
+    backwards = permission[::-1]
+    texts = [" ".join(filler + x + filler) for x in (permission, put_in, left_out, other, half, scattered, backwards)]
+    assert labels_of(spark, docs_of, texts) == ["mit", "mit", "mit", "mit", "", "", ""]
+
+
+def test_spans(spark, docs_of, permission):
+    text = " ".join(["foo"] * 7 + permission + ["bar"] * 30 + permission)
+    (row,) = license_scan(docs_of([(1, text)])).collect()
+    n = len(permission)
+    assert [(s["start"], s["end"], s["label"], s["share"]) for s in row["spans"] if s["share"] > 0.5] == [(7, 7 + n, "mit", 1.0), (37 + n, 37 + 2 * n, "mit", 1.0)]
+
+
+def test_own_templates(spark, docs_of):
+    texts = ["one two three four", "two three four", "one two"]
+    scanned = license_scan(docs_of(list(enumerate(texts))), {"own": ["One, two; three. Four"]}, {"pair": "one two"})
+    found = {r["doc_id"]: (r["labels"], r["score"]) for r in license_labels(scanned).collect()}
+    assert found == {0: ("own,pair", 1.0), 1: ("own", 0.75), 2: ("pair", 1.0)}
+    with pytest.raises(Exception, match="template too short"):
+        license_scan(docs_of([(1, "a")]), {"own": ["one two"]}).collect()
