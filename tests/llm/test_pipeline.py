@@ -47,6 +47,20 @@ def test_stages(spark, sf_dir):
         assert bytes(row["ids"]) == ids.tobytes() and row["ids_crc32"] == zlib.crc32(ids.tobytes()) and row["round_trip"]
 
 
+def test_extra_columns_with_the_operators_own_names(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 200")
+    clashing = docs.select("*", F.lit(7).alias("score"), *(F.concat(F.lit(f"{c}-"), "doc_id").alias(c) for c in ("mix_tokens", "size", "shard", "ids", "fp", "row", "column0", "topic")))
+    plain = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        clashing, plain = written(stage(spark, clashing, sf_dir), "clashing"), written(stage(spark, plain, sf_dir), "plain")
+        assert clashing.columns == [*docs.columns, "score", "mix_tokens", "size", "shard", "ids", "fp", "row", "column0", "topic"]
+        assert {tuple(r) for r in clashing.select(plain.columns).collect()} == {tuple(r) for r in plain.collect()}
+    for row in clashing.collect():
+        assert row["score"] == 7 and row["mix_tokens"] == f"mix_tokens-{row['doc_id']}" and row["column0"] == f"column0-{row['doc_id']}"
+    last = corpus_pipeline.STAGES[-1][1]
+    assert sorted(map(tuple, last(spark, clashing, sf_dir).collect())) == sorted(map(tuple, last(spark, plain, sf_dir).collect()))
+
+
 def test_run_is_the_registered_query(spark, sf_dir, tmp_path):
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
     rows = [(1, None, None, None, 0), (2, "", "en", "s", 0), (3, "a b c", "en", "s", 5), (3, "a b c", "en", "s", 5), (None, "x y z w", None, "s", 7), (4, "word " * 30_000, "fr", None, 1)]
