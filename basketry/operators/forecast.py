@@ -3,14 +3,17 @@
 The model predicts the amount of one order from (day, weekday, month). Reports
 that set its mean beside *daily* sales compare different units; fit on
 ``grain="day"`` features to forecast daily totals instead.
+
+A model is a DataFrame of one row: the rows it was fitted on, a coefficient per
+feature and the intercept. It is fitted inside the plan, so nothing runs before
+a result that uses it does.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
+from functools import reduce
+from itertools import combinations_with_replacement
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from basketry.constants import (
@@ -37,12 +40,15 @@ from basketry.functions.predicates import delivered_contains
 def training_rows(orders: DataFrame, delivered: Column | None = None, min_rows: int = MIN_DELIVERED) -> DataFrame:
     """Delivered orders, or all orders when fewer than ``min_rows`` are delivered.
 
-    Fetches ``min_rows`` delivered orders to decide, which reads a few partitions
-    unless deliveries are rare; the plain filter then reaches the scan.
+    One lazy plan of two parts. The filter of the delivered orders reaches their scan. The other orders
+    are joined with a gate, which is empty if there are enough delivered ones; adaptive execution then
+    drops that part before it reads anything. Counting for the gate stops at ``min_rows`` in every task.
     """
-    done = orders.filter(delivered_contains() if delivered is None else delivered)
-    enough = len(done.select(F.lit(1)).take(min_rows)) == min_rows
-    return done if enough else orders
+    wanted = delivered_contains() if delivered is None else delivered
+    done = orders.filter(wanted)
+    gate = done.select(F.lit(1).alias("one")).limit(min_rows).agg(F.count("one").alias("n")).filter(F.col("n") < min_rows)
+    others = orders.filter(~F.coalesce(wanted, F.lit(False)))
+    return done.union(others.join(F.broadcast(gate), F.lit(True), "left_semi"))  # one row, or none
 
 
 def calendar_columns(day: Column) -> list[Column]:
@@ -64,65 +70,95 @@ def training_features(rows: DataFrame, grain: str = "order") -> DataFrame:
     raise ValueError(f"grain must be 'order' or 'day', not {grain!r}")
 
 
-def fit_model(
-    features: DataFrame,
-    max_iter: int = MAX_ITER,
-    reg: float = REG_PARAM,
-    l1_ratio: float = L1_RATIO,
-) -> PipelineModel:
-    """Elastic-net fit of the amount on the calendar features (runs jobs).
-
-    Features take at most 31 x 7 x 12 combinations, and for squared loss the
-    mean and count per combination carry everything the coefficients depend on.
-    So the rows are first aggregated to that many weighted rows by Spark SQL,
-    and only those reach the solver. The solver scales its L2 penalty by the
-    label's standard deviation, which is smaller between combinations than
-    between rows; the penalty is adjusted by that ratio so that the coefficients
-    are those of the row-level fit. Variances are sums of doubles, so the last
-    digits of the coefficients may differ between runs.
+def feature_cells(features: DataFrame) -> DataFrame:
+    """Rows, amounts and squared amounts per combination of features: at most 31 x 7 x 12 rows, whatever the input.
+
+    Rows without a feature or a finite amount take no part.
     """
-    usable = features.dropna(subset=[*FEATURES, "total_amount"])
-    cells = (
-        usable.groupBy(*FEATURES)
-        .agg(
-            F.count("*").cast("double").alias("weight"),
-            exact_avg("total_amount").alias("label"),
-            F.var_pop("total_amount").alias("within"),
-        )
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    amount = F.col("total_amount").cast("double")
+    finite = ~F.isnan(amount) & (F.abs(amount) < float("inf"))
+    return features.dropna(subset=[*FEATURES, "total_amount"]).filter(finite).groupBy(*FEATURES).agg(
+        F.count("*").alias("n"), exact_sum("total_amount").alias("s"), exact_sum("total_amount * total_amount").alias("q")
     )
-    try:
-        mean = cells.agg(F.sum(F.col("weight") * F.col("label")) / F.sum("weight")).scalar()
-        deviation = F.col("label") - mean
-        stats = cells.agg(
-            F.sum("weight").alias("rows"),
-            F.sum(F.col("weight") * deviation * deviation).alias("between"),
-            F.sum(F.col("weight") * F.col("within")).alias("within"),
-        ).first()
-        if (stats["rows"] or 0) < MIN_TRAINING_ROWS:
-            raise ValueError(f"{int(stats['rows'] or 0)} usable rows; at least {MIN_TRAINING_ROWS} needed to fit")
-        spread = stats["between"] + stats["within"]
-        shrink = (stats["between"] / spread) ** 0.5 if spread > 0 else 1.0
-        l1, l2 = reg * l1_ratio, reg * (1 - l1_ratio) * shrink
-        regression = LinearRegression(
-            featuresCol="features",
-            labelCol="label",
-            weightCol="weight",
-            maxIter=max_iter,
-            regParam=l1 + l2,
-            elasticNetParam=l1 / (l1 + l2) if l1 + l2 > 0 else 0.0,
-        )
-        assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="skip")
-        return Pipeline(stages=[assembler, regression]).fit(cells)
-    finally:
-        cells.unpersist()
 
 
-def model_coefficients(spark: SparkSession, model: PipelineModel) -> DataFrame:
+def gram(cells: DataFrame) -> DataFrame:
+    """One row: n, y, yy, and per feature or pair of features x_f, xy_f, xx_f_g.
+
+    These sums are all that a linear fit needs. They are exact, so they do not depend on the order of
+    rows or on the partitioning, and sums of parts of the data add up to those of the whole.
+    """
+    sums = [F.sum("n").alias("n"), exact_sum("s").alias("y"), exact_sum("q").alias("yy")]
+    for f in FEATURES:
+        sums += [F.sum(F.col("n") * F.col(f)).alias(f"x_{f}"), exact_sum(f"s * {f}").alias(f"xy_{f}")]
+    for f, g in combinations_with_replacement(FEATURES, 2):
+        sums.append(F.sum(F.col("n") * F.col(f) * F.col(g)).alias(f"xx_{f}_{g}"))
+    return cells.agg(*sums)
+
+
+def _pair(f: str, g: str) -> str:
+    return f"{f}_{g}" if FEATURES.index(f) <= FEATURES.index(g) else f"{g}_{f}"
+
+
+def _over(part: Column, whole: Column) -> Column:
+    """part / whole, and 0 where whole is 0: a constant column takes no part in a fit."""
+    return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
+
+
+def fit_model(features: DataFrame, max_iter: int = MAX_ITER, reg: float = REG_PARAM, l1_ratio: float = L1_RATIO) -> DataFrame:
+    """Elastic-net fit of the amount on the calendar features: one row n_rows, a coefficient per feature, intercept.
+
+    Minimises half the mean squared error plus reg * (l1_ratio * |b| + (1 - l1_ratio) / 2 * b * b / s) over the
+    coefficients b of features scaled to variance 1, s the amounts' standard deviation. ``max_iter``
+    rounds of coordinate descent run on the Gram matrix, as a fold inside the plan. Fewer than
+    MIN_TRAINING_ROWS usable rows are an error when the model is used.
+    """
+    whole = F.col("n").cast("decimal(19,0)")
+    n = F.col("n").cast("double")
+    enough = F.when(F.col("n") >= MIN_TRAINING_ROWS, F.col("n")).otherwise(
+        F.raise_error(F.concat(F.coalesce("n", F.lit(0)).cast("string"), F.lit(f" usable rows; at least {MIN_TRAINING_ROWS} needed to fit")))
+    )
+    sums = gram(feature_cells(features)).withColumn("n", enough.cast("bigint"))
+    integer = lambda c: F.col(c).cast("decimal(19,0)")
+    means = {f"m_{f}": F.col(f"x_{f}") / n for f in FEATURES} | {"m": F.col("y") / n}
+    # The products of whole numbers are exact: a feature without variance has exactly none.
+    spread = {
+        f"c_{_pair(f, g)}": (whole * integer(f"xx_{_pair(f, g)}") - integer(f"x_{f}") * integer(f"x_{g}")).cast("double") / n / n
+        for f, g in combinations_with_replacement(FEATURES, 2)
+    }
+    with_y = {f"c_{f}": F.col(f"xy_{f}") / n - F.col(f"m_{f}") * F.col("m") for f in FEATURES}
+    scaled = sums.withColumns(means).withColumns(spread | with_y | {"d": F.sqrt(F.greatest(F.col("yy") / n - F.col("m") * F.col("m"), F.lit(0.0)))})
+    scaled = scaled.withColumns({f"d_{f}": F.sqrt(f"c_{f}_{f}") for f in FEATURES})
+    pull = {f"r_{f}": _over(F.col(f"c_{f}"), F.col(f"d_{f}")) for f in FEATURES}
+    alike = {f"g_{_pair(f, g)}": _over(F.col(f"c_{_pair(f, g)}"), F.col(f"d_{f}") * F.col(f"d_{g}")) for f, g in combinations_with_replacement(FEATURES, 2)}
+    scaled = scaled.withColumns(pull | alike | {"l2": _over(F.lit(reg * (1 - l1_ratio)), F.col("d"))})
+
+    def sweep(b: Column, _: Column) -> Column:
+        now = {f: b[f] for f in FEATURES}
+        for f in FEATURES:
+            rest = reduce(lambda x, g: x - F.col(f"g_{_pair(f, g)}") * now[g], [g for g in FEATURES if g != f], F.col(f"r_{f}"))
+            l1 = F.lit(float(reg * l1_ratio))
+            cut = F.when(rest > l1, rest - l1).when(rest < -l1, rest + l1).otherwise(0.0)
+            now[f] = _over(cut, F.col(f"g_{f}_{f}") + F.col("l2"))
+        return F.struct(*(now[f].alias(f) for f in FEATURES))
+
+    start = F.struct(*(F.lit(0.0).alias(f) for f in FEATURES))
+    fitted = scaled.withColumn("b", F.aggregate(F.sequence(F.lit(1), F.lit(max_iter)), start, sweep))
+    slopes = fitted.select("n", "m", *(f"m_{f}" for f in FEATURES), *(_over(F.col(f"b.{f}"), F.col(f"d_{f}")).alias(f) for f in FEATURES))
+    intercept = reduce(lambda x, f: x - F.col(f) * F.col(f"m_{f}"), FEATURES, F.col("m"))
+    return slopes.select(F.col("n").alias("n_rows"), *FEATURES, intercept.alias("intercept"))
+
+
+def model_coefficients(model: DataFrame) -> DataFrame:
     """One row per feature, and the intercept."""
-    linear = model.stages[-1]
-    rows = [*zip(FEATURES, map(float, linear.coefficients)), ("intercept", float(linear.intercept))]
-    return spark.createDataFrame(rows, "term string, coefficient double")
+    terms = [F.struct(F.lit(t).alias("term"), F.col(t).alias("coefficient")) for t in (*FEATURES, "intercept")]
+    return model.select(F.inline(F.array(*terms)))
+
+
+def predicted(model: DataFrame) -> Column:
+    """The model's amount for a row with the features; the model enters the plan as a scalar subquery."""
+    b = model.select(F.struct(*FEATURES, "intercept")).scalar()
+    return reduce(lambda x, f: x + F.col(f) * b[f], FEATURES, b["intercept"])
 
 
 def future_calendar(spark: SparkSession, as_of: AsOf = None, days: int = 7) -> DataFrame:
@@ -138,12 +174,12 @@ def future_calendar(spark: SparkSession, as_of: AsOf = None, days: int = 7) -> D
     )
 
 
-def forecast(model: PipelineModel, calendar: DataFrame, created_at: AsOf = None) -> DataFrame:
+def forecast(model: DataFrame, calendar: DataFrame, created_at: AsOf = None) -> DataFrame:
     """Forecast records for the days of a calendar."""
-    return model.transform(calendar).select(
+    return calendar.select(
         "prediction_id",
         "predicted_date",
-        F.col("prediction").alias("predicted_sales"),
+        predicted(model).alias("predicted_sales"),
         "day",
         "month",
         F.col("weekday_name").alias("weekday"),
@@ -170,20 +206,16 @@ def weekday_forecast(rows: DataFrame, calendar: DataFrame, created_at: AsOf = No
 
 
 def split_holdout(rows: DataFrame, key: str = "order_id", folds: int = 5) -> tuple[DataFrame, DataFrame]:
-    """Deterministic (train, test) split: one fold of the hashed key is held out."""
-    held_out = F.pmod(F.xxhash64(key), F.lit(folds)) == 0
+    """Deterministic (train, test) split: one fold of the key's MD5 is held out; a null key counts as empty text."""
+    digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
+    held_out = F.pmod(F.conv(F.left(digest, F.lit(8)), 16, 10).cast("bigint"), F.lit(folds)) == 0
     return rows.filter(~held_out), rows.filter(held_out)
 
 
-def model_evaluation(model: PipelineModel, features: DataFrame) -> DataFrame:
+def model_evaluation(model: DataFrame, features: DataFrame) -> DataFrame:
     """Number of rows, RMSE, MAE and R2 of a model, in one pass over the rows."""
-    linear = model.stages[-1]
-    predicted = sum(
-        (F.col(f) * F.lit(float(c)) for f, c in zip(FEATURES, linear.coefficients)),
-        F.lit(float(linear.intercept)),
-    )
-    error = F.col("total_amount") - predicted
-    scored = features.dropna(subset=[*FEATURES, "total_amount"]).agg(
+    error = F.col("total_amount") - F.col("predicted")
+    scored = features.dropna(subset=[*FEATURES, "total_amount"]).withColumn("predicted", predicted(model)).agg(
         F.count("*").alias("n_rows"),
         F.avg(error * error).alias("mse"),
         F.avg(F.abs(error)).alias("mae"),

@@ -420,6 +420,11 @@ def _forecast(d: Dataset) -> DataFrame:
     return fc.forecast(_model(d), calendar, created_at=as_of)
 
 
+def rounded(df: DataFrame, **digits: int) -> DataFrame:
+    """Columns to so many decimals, where the last digits of doubles depend on the engine."""
+    return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
+
+
 def _stored_forecast(d: Dataset) -> DataFrame:
     """What stands for a stored forecast table in the reports on one."""
     spark, as_of = d.orders.sparkSession, latest(d.orders)
@@ -448,18 +453,20 @@ def future_calendar(d: Dataset) -> DataFrame:
 
 @query
 def model_coefficients(d: Dataset) -> DataFrame:
-    return fc.model_coefficients(d.orders.sparkSession, _model(d))
+    return rounded(fc.model_coefficients(_model(d)), coefficient=6)
 
 
 @query
 def model_evaluation(d: Dataset) -> DataFrame:
     train, test = fc.split_holdout(_training_rows(d))
-    return fc.model_evaluation(fc.fit_model(fc.training_features(train)), fc.training_features(test))
+    model = fc.fit_model(fc.training_features(train))
+    return rounded(fc.model_evaluation(model, fc.training_features(test)), rmse=3, mae=3, r2=9)
 
 
 @query
 def sales_forecast(d: Dataset) -> DataFrame:
-    return _forecast(d)
+    # Text compares the same on every engine.
+    return rounded(_forecast(d), predicted_sales=6).withColumn("features_used", F.to_json("features_used"))
 
 
 @query

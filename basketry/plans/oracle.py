@@ -1,7 +1,7 @@
 """Plain SQL with the same results as the catalogue, for checking it on another engine.
 
-Amounts are summed as decimals, so the totals do not depend on row order.
-Queries without an entry fit a model with an iterative solver; tests compare them with a row-level fit.
+Amounts are summed as decimals, so the totals do not depend on row order. The
+linear model is fitted by the same coordinate descent, as a recursive query.
 """
 
 from __future__ import annotations
@@ -362,6 +362,62 @@ FROM (SELECT {wide("daily_sales")} / COUNT(daily_sales) AS hist_avg FROM ({HISTO
      (SELECT {mean("predicted_sales")} AS pred_avg FROM ({STORED})) WHERE hist_avg IS NOT NULL""",
 }
 
+PARTS = ("day", "weekday", "month")
+PAIRS = [(f, g) for i, f in enumerate(PARTS) for g in PARTS[i:]]
+
+
+def fitted(features: str, rounds: int = 100, reg: float = 0.01, ratio: float = 0.8) -> str:
+    """One row of coefficients and intercept for rows (total_amount, day, weekday, month)."""
+    pair = lambda f, g: f"{f}_{g}" if (f, g) in PAIRS else f"{g}_{f}"
+    y = "CAST(total_amount AS DECIMAL(18,4))"
+    units = f"CAST(CAST({y} AS DECIMAL(28,4)) * 10000 AS HUGEINT)"
+    sums = [f"SUM({f}) AS x_{f}, CAST(SUM({y} * {f}) AS DOUBLE) AS xy_{f}" for f in PARTS] + [f"SUM({f} * {g}) AS xx_{f}_{g}" for f, g in PAIRS]
+    spread = [f"CAST(n * xx_{f}_{g} - x_{f} * x_{g} AS DOUBLE) / n / n AS c_{f}_{g}" for f, g in PAIRS]
+    with_y = [f"xy_{f} / n - (x_{f} / n) * (y / n) AS c_{f}, x_{f} / n AS m_{f}" for f in PARTS]
+    scaled = [f"COALESCE(c_{f} / NULLIF(sqrt(c_{f}_{f}), 0), 0) AS r_{f}, sqrt(c_{f}_{f}) AS d_{f}" for f in PARTS]
+    alike = [f"COALESCE(c_{f}_{g} / NULLIF(sqrt(c_{f}_{f}) * sqrt(c_{g}_{g}), 0), 0) AS g_{f}_{g}" for f, g in PAIRS]
+    step = f"SELECT * FROM descent, scaled WHERE round < {rounds}"
+    l1, l2 = repr(reg * ratio), repr(reg * (1 - ratio))
+    for f in PARTS:
+        rest = f"r_{f}" + "".join(f" - g_{pair(f, g)} * b_{g}" for g in PARTS if g != f)
+        cut = f"CASE WHEN {rest} > {l1} THEN {rest} - {l1} WHEN {rest} < -{l1} THEN {rest} + {l1} ELSE 0 END"
+        step = f"SELECT * REPLACE (COALESCE(({cut}) / NULLIF(g_{f}_{f} + l2, 0), 0) AS b_{f}) FROM ({step})"
+    slopes = [f"COALESCE(b_{f} / NULLIF(d_{f}, 0), 0) AS {f}" for f in PARTS]
+    intercept = "m" + "".join(f" - {f} * m_{f}" for f in PARTS)
+    return f"""
+WITH RECURSIVE sums AS (
+  SELECT COUNT(*) AS n, {money("total_amount")} AS y, CAST(SUM({units} * {units}) AS DOUBLE) / 1e8 AS yy, {", ".join(sums)} FROM ({features})),
+spread AS (SELECT y / n AS m, sqrt(GREATEST(yy / n - (y / n) * (y / n), 0)) AS d, {", ".join(spread + with_y)} FROM sums),
+scaled AS (SELECT m, COALESCE({l2} / NULLIF(d, 0), 0) AS l2, {", ".join(f"m_{f}" for f in PARTS)}, {", ".join(scaled + alike)} FROM spread),
+descent AS (
+  SELECT 0 AS round, {", ".join(f"CAST(0 AS DOUBLE) AS b_{f}" for f in PARTS)}
+  UNION ALL SELECT round + 1, {", ".join(f"b_{f}" for f in PARTS)} FROM ({step})),
+slopes AS (SELECT m, {", ".join(f"m_{f}" for f in PARTS)}, {", ".join(slopes)} FROM descent, scaled WHERE round = {rounds})
+SELECT {", ".join(PARTS)}, {intercept} AS intercept FROM slopes"""
+
+
+PREDICTED = "m.intercept" + "".join(f" + f.{p} * m.{p}" for p in PARTS)
+HELD_OUT = "CAST('0x' || left(md5(CAST(order_id AS VARCHAR)), 8) AS BIGINT) % 5 = 0"
+
+
+def features_of(rows: str) -> str:
+    return f"SELECT total_amount, {FEATURES.format(d='date')} FROM ({TRAINING}) WHERE {rows}"
+
+
+ORACLE |= {
+    "model_coefficients": f"""
+SELECT unnest(['day', 'weekday', 'month', 'intercept']) AS term, round(unnest([day, weekday, month, intercept]), 6) AS coefficient
+FROM ({fitted(ORACLE["training_features"])})""",
+    "model_evaluation": f"""
+SELECT COUNT(*) AS n_rows, round(sqrt(AVG(e * e)), 3) AS rmse, round(AVG(abs(e)), 3) AS mae, round(1 - AVG(e * e) / var_pop(total_amount), 9) AS r2
+FROM (SELECT total_amount, total_amount - ({PREDICTED}) AS e FROM ({features_of(HELD_OUT)}) f, ({fitted(features_of(f"NOT {HELD_OUT}"))}) m)""",
+    "sales_forecast": f"""
+SELECT prediction_id, predicted_date, round({PREDICTED}, 6) AS predicted_sales, f.day, f.month, weekday_name AS weekday, 'LinearRegression' AS model,
+       '["day","weekday","month"]' AS features_used,
+       strftime((SELECT MAX(o_orderdate) FROM orders), '%Y-%m-%dT%H:%M:%S.%f') AS created_at
+FROM ({ORACLE["future_calendar"]}) f, ({fitted(ORACLE["training_features"])}) m""",
+}
+
 for _key, _test in {
     "delivered_like": "o_orderstatus LIKE '%F%'",
     "delivered_contains": "o_orderstatus = 'F' OR contains(o_orderstatus, 'F')",

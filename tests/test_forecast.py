@@ -4,6 +4,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from basketry.operators import forecast as fc
 from basketry.plans.analysis import run_forecast
+from basketry.sources.dataset import load_dataset
 from conftest import ORDER_FIELDS, one, rows_of
 
 
@@ -49,13 +51,23 @@ def row_level_fit(features, reg, ratio):
     return Pipeline(stages=[assembler, regression]).fit(features)
 
 
+def coefficients(model):
+    """(day, weekday, month, intercept)"""
+    return [r.coefficient for r in fc.model_coefficients(model).collect()]
+
+
 @pytest.mark.parametrize("reg, ratio", [(0.01, 0.8), (5.0, 0.8), (5.0, 0.1), (20.0, 0.0), (0.0, 0.8), (3.0, 1.0)])
-def test_aggregated_fit_equals_row_level_fit(spark, reg, ratio):
+def test_fit_on_sums_equals_row_level_fit(spark, reg, ratio):
     features = noisy_features(spark)
-    ours = fc.fit_model(features, reg=reg, l1_ratio=ratio).stages[-1]
     theirs = row_level_fit(features, reg, ratio).stages[-1]
-    assert ours.coefficients.toArray() == pytest.approx(theirs.coefficients.toArray(), rel=1e-4)
-    assert ours.intercept == pytest.approx(theirs.intercept, rel=1e-4)
+    found = coefficients(fc.fit_model(features, reg=reg, l1_ratio=ratio))
+    assert found == pytest.approx([*theirs.coefficients.toArray(), theirs.intercept], rel=1e-6)
+
+
+def test_fit_equals_row_level_fit_on_the_tables(spark, sf_dir):
+    features = fc.training_features(fc.training_rows(load_dataset(spark, sf_dir).orders, F.col("status") == "F"))
+    theirs = row_level_fit(features, 0.01, 0.8).stages[-1]
+    assert coefficients(fc.fit_model(features)) == pytest.approx([*theirs.coefficients.toArray(), theirs.intercept], rel=1e-6)
 
 
 def test_unregularised_fit_equals_numpy(spark):
@@ -63,33 +75,71 @@ def test_unregularised_fit_equals_numpy(spark):
     data = features.toPandas()
     x = np.column_stack([data[list(fc.FEATURES)], np.ones(len(data))])
     expected = np.linalg.lstsq(x, data["total_amount"], rcond=None)[0]
-    model = fc.fit_model(features, reg=0.0)
-    got = [r.coefficient for r in fc.model_coefficients(spark, model).collect()]
-    assert got == pytest.approx(expected.tolist(), rel=1e-6)
+    assert coefficients(fc.fit_model(features, reg=0.0)) == pytest.approx(expected.tolist(), rel=1e-9)
+
+
+def test_fit_does_not_depend_on_the_partitioning(spark):
+    features = noisy_features(spark)
+    found = {tuple(coefficients(fc.fit_model(features.repartition(n, *by)))) for n, by in ((1, []), (7, []), (5, ["day"]))}
+    assert len(found) == 1
+
+
+def test_sums_of_parts_add_up(spark):
+    features = noisy_features(spark, 500).withColumn("total_amount", F.round("total_amount", 2))
+    whole = one(fc.gram(fc.feature_cells(features)))
+    parts = [one(fc.gram(fc.feature_cells(features.filter(c)))) for c in ("day < 9", "day >= 9")]
+    assert all(whole[k] == pytest.approx(parts[0][k] + parts[1][k], rel=1e-15) for k in whole)
+
+
+def test_a_constant_feature_takes_no_part(spark):
+    flat = noisy_features(spark, 300).withColumn("month", F.lit(5))
+    day, weekday, month, intercept = coefficients(fc.fit_model(flat, reg=0.0))
+    assert month == 0.0 and day == pytest.approx(3, abs=1) and weekday == pytest.approx(-12, abs=3)
 
 
 def test_too_few_rows_is_an_error(spark):
     features = noisy_features(spark, 3)
-    fc.fit_model(features)
-    with pytest.raises(ValueError, match="at least 3"):
-        fc.fit_model(features.limit(2))
-    with pytest.raises(ValueError, match="at least 3"):
-        fc.fit_model(features.limit(0))
+    assert fc.fit_model(features).first()["n_rows"] == 3
+    for n in (2, 0):
+        with pytest.raises(PySparkException, match="at least 3"):
+            fc.fit_model(features.limit(n)).collect()
 
 
-def test_rows_with_nulls_are_skipped(spark):
+def test_rows_with_nulls_and_without_finite_amount_are_skipped(spark):
     features = noisy_features(spark, 200)
     holes = features.limit(1).withColumn("day", F.lit(None).cast("int"))
-    a = fc.fit_model(features).stages[-1].coefficients.toArray()
-    b = fc.fit_model(features.unionByName(holes)).stages[-1].coefficients.toArray()
-    assert a == pytest.approx(b)
+    for amount in ("NaN", "Infinity", "-Infinity"):
+        holes = holes.unionByName(features.limit(1).withColumn("total_amount", F.lit(amount).cast("double")))
+    assert coefficients(fc.fit_model(features)) == coefficients(fc.fit_model(features.unionByName(holes)))
 
 
 def test_constant_amounts(spark):
     flat = noisy_features(spark, 50).withColumn("total_amount", F.lit(12.5))
-    model = fc.fit_model(flat)
     calendar = fc.future_calendar(spark, dt.date(2024, 1, 1), 2)
-    assert [r.predicted_sales for r in fc.forecast(model, calendar).collect()] == pytest.approx([12.5, 12.5])
+    assert [r.predicted_sales for r in fc.forecast(fc.fit_model(flat), calendar).collect()] == pytest.approx([12.5, 12.5])
+
+
+def test_nothing_runs_before_a_result_is_asked_for(spark):
+    orders = make_orders(spark, 30, 5)
+    spark.sparkContext.setJobGroup("lazy", "building a forecast")
+    try:
+        model = fc.fit_model(fc.training_features(fc.training_rows(orders)))
+        out = fc.forecast(model, fc.future_calendar(spark, dt.date(2024, 1, 1), 2))
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")
+        assert out.count() == 2 and spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_fallback_reads_other_orders_only_if_needed(spark, sf_dir):
+    orders = load_dataset(spark, sf_dir).orders
+    for status, scans in (("F", 1), ("none", 2)):
+        rows = fc.training_rows(orders, F.col("status") == status)
+        assert rows.count() == orders.filter(F.col("status") == status).count() or scans == 2
+        rows.collect()
+        final = rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert final.count("FileScan") == scans
+        assert f"EqualTo(o_orderstatus,{status})" in final
 
 
 def test_forecast_records(spark):
@@ -113,7 +163,7 @@ def test_evaluation_equals_evaluator(spark):
     features = noisy_features(spark)
     model = fc.fit_model(features)
     ours = one(fc.model_evaluation(model, features))
-    predicted = model.transform(features)
+    predicted = features.withColumn("prediction", fc.predicted(model))
     for metric in ("rmse", "mae", "r2"):
         evaluator = RegressionEvaluator(labelCol="total_amount", predictionCol="prediction", metricName=metric)
         assert ours[metric] == pytest.approx(evaluator.evaluate(predicted), rel=1e-9)
