@@ -112,6 +112,45 @@ def test_documents_hold_every_line(flat, catalogue, split):
     docs.unpersist()
 
 
+@pytest.fixture
+def small_parts(monkeypatch):
+    monkeypatch.setattr(documents, "GATHER_LINES", 100)
+
+
+def test_large_orders_are_the_same_documents(flat, catalogue, spark, monkeypatch):
+    orders, lines = flat
+    whole = rows_of(documents.order_documents(orders, lines, catalogue))
+    monkeypatch.setattr(documents, "GATHER_LINES", 100)
+    assert [tuple(r) for r in documents.large_orders(lines).collect()] == [("o0", 16)]
+    key, before = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    for partitions, given in ((3, lines), (8, lines.repartition(5)), (200, lines.repartition(2, "product_id"))):
+        spark.conf.set(key, str(partitions))
+        assert rows_of(documents.order_documents(orders, given, catalogue)) == whole
+    spark.conf.set(key, before)
+
+
+def test_no_task_gathers_a_large_order(spark, catalogue, small_parts):
+    """A third of 30,000 lines in one order: its parts hold about as many lines each, in different groups."""
+    lines = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("o"), (F.col("id") % 5000).cast("string"))).alias("order_id"),
+        F.concat(F.lit("P"), (F.col("id") % 997).cast("string")).alias("product_id"),
+        (F.col("id") % 7 + 1).alias("quantity"),
+    )
+    large = documents.large_orders(lines)
+    assert [r.order_id for r in large.collect()] == ["hot"]
+    sizes = sorted(r.n for r in documents.large_order_parts(lines, large, catalogue).select(F.size("items").alias("n")).collect())
+    assert sum(sizes) == 10_000 and len(sizes) == 100 and sizes[-1] < 2 * sizes[50]
+    orders = spark.createDataFrame([("hot",), ("o1",), ("none",)], "order_id string")
+    found = {r.order_id: len(r["items"]) for r in documents.order_documents(orders, lines, catalogue).collect()}
+    assert found == {"hot": 10_000, "o1": lines.filter("order_id = 'o1'").count(), "none": 0}
+
+
+def test_no_order_is_large_by_number_alone(flat, monkeypatch):
+    monkeypatch.setattr(documents, "GATHER_LINES", 1)
+    monkeypatch.setattr(documents, "MOST_LARGE", 2)
+    assert [r.order_id for r in documents.large_orders(flat[1]).collect()] == ["o0"]
+
+
 def test_documents_do_not_depend_on_the_cluster(flat, catalogue, spark):
     orders, lines = flat
     key, found = "spark.sql.shuffle.partitions", []
