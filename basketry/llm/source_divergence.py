@@ -168,7 +168,6 @@ def source_divergence(
     own; a language of one source has no pairs; an empty table gives empty tables. Long texts are counted
     whole. Other columns are ignored, so their names cannot clash.
     """
-    spark = docs.sparkSession
     counted = written(term_counts(docs, text_col, lang_col, source_col), "term-counts")
     terms = counted.where("term is not null").groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("all_n")).where(F.col("docs") >= least_docs)
     terms = written(terms.drop("docs"), "terms")
@@ -182,7 +181,7 @@ def source_divergence(
     posted = kept.join(groups.select("lang", "source", "g", "size", "v", "lang_n"), ["lang", "source"])
     posted = written(posted.select("lang", "source", "g", "term", share("n", "size", "v").cast("long").alias("p"), share("all_n", "lang_n", "v").cast("long").alias("q")), "postings")
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = posted.count() // BLOCK + 1  # by the postings and not by the cluster: every part adds a sum per pair
     part = F.pmod(F.xxhash64("lang", "term"), F.lit(parts)).cast("int")
     index = posted.groupBy("lang", "term").agg(F.collect_list(F.struct("g", "p")).alias("x"))  # at most a posting per source
     index = index.select("lang", part.alias("part"), F.lit(0).alias("kind"), F.col("x.g").alias("g"), F.col("x.p").alias("p"))
