@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
-from basketry.operators.distribution import amount_center, exact_median, histogram
+from basketry.operators.distribution import amount_center, exact_median, histogram, median_frame
 from conftest import one
 
 
@@ -65,8 +65,23 @@ def test_amounts_off_the_axis_take_no_part(spark, odd):
     assert exact_median(frame(spark, [odd, odd])) is None
 
 
-def test_median_of_many_rows_needs_two_passes(spark):
+@pytest.mark.parametrize(
+    "amount, median",
+    [
+        ("cast((id * 7919) % 400001 as double)", 200_000.0),
+        ("if(id % 3 = 0, 5D, 1D)", 1.0),
+        ("if(id < 200000, 1D, 1D + id / 1e12)", 1.0 + 200_000 / 1e12),
+        ("case when id < 200000 then -1e300 * id when id = 200000 then 0.25D else 1e300 * id end", 0.25),
+        ("case when id % 2 = 0 then double('NaN') when id % 4 = 1 then double('Infinity') else cast(id as double) end", 200_001.0),
+    ],
+)
+def test_median_of_many_rows(spark, amount, median):
+    assert exact_median(spark.range(400_001).selectExpr(f"{amount} as total_amount")) == median
+
+
+def test_median_plan_has_no_window_and_orders_few_values(spark):
     df = spark.range(400_001).selectExpr("cast((id * 7919) % 400001 as double) as total_amount")
-    assert exact_median(df) == 200_000.0
-    plan = amount_center(df)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("percentile_approx") >= 1
+    frame = median_frame(df)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("percentile_approx") >= 2
+    assert plan.count("Range (0") == 3
