@@ -97,6 +97,40 @@ def test_saving_replaces(spark, orders, tmp_path):
     assert load_table(spark, f"{tmp_path}/predictions").count() == 1
 
 
+def test_a_failed_replacement_leaves_the_old_rows(spark, orders, tmp_path):
+    target = Target(str(tmp_path))
+    replace_table(orders, "predictions", target)
+    half = spark.range(0, 1000, 1, 10).select(F.when(F.col("id") > 900, F.raise_error(F.lit("boom")).cast("string")).otherwise("x").alias("order_id"))
+    with pytest.raises(Exception, match="boom"):
+        replace_table(half, "predictions", target)
+    assert rows_of(load_table(spark, f"{tmp_path}/predictions", schema=schemas.ORDERS)) == rows_of(orders)
+    assert [p.name for p in tmp_path.iterdir()] == ["predictions"]  # nothing is left beside it
+
+
+def test_an_empty_result_touches_no_table(spark, orders, tmp_path):
+    target = Target(str(tmp_path))
+    assert save_results({"a": orders}, target) == {"a": "saved"}
+    assert save_results({"a": orders.limit(0), "b": orders.filter("order_id = 'none'")}, target) == {"a": "empty", "b": "empty"}
+    assert load_table(spark, f"{tmp_path}/analysis_a").count() == 2
+    assert [p.name for p in tmp_path.iterdir()] == ["analysis_a"]
+    replace_table(orders.limit(0), "analysis_a", target)  # a replacement may be empty
+    assert load_table(spark, f"{tmp_path}/analysis_a", schema=schemas.ORDERS).count() == 0
+
+
+def test_a_result_is_evaluated_once(spark, orders, tmp_path):
+    rows = orders.groupBy("status").agg(F.count("*").alias("n"))  # a shuffle: one more job would show
+    spark.sparkContext.setJobGroup("once", "saving")
+    try:
+        rows.write.parquet(f"{tmp_path}/plain")
+        plain = len(spark.sparkContext.statusTracker().getJobIdsForGroup("once"))
+        spark.sparkContext.setJobGroup("saved", "saving")
+        assert save_results({"a": rows}, Target(str(tmp_path))) == {"a": "saved"}
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("saved")) == plain
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not rows.is_cached
+
+
 def test_json_export_keeps_nulls_accents_and_nesting(spark, orders, tmp_path):
     with_id = orders.withColumn("_id", F.struct(F.lit("abc").alias("oid")))
     export_json(with_id, f"{tmp_path}/out")
