@@ -25,6 +25,7 @@ from basketry.operators import (
     sales,
     shares,
 )
+from basketry.sources import extended_json
 from basketry.sources.dataset import Dataset, load_dataset
 from basketry.sources.writers import json_rows
 
@@ -100,6 +101,25 @@ def export_json_rows(d: Dataset) -> DataFrame:
     return json_rows(d.orders)
 
 
+@query
+def store_export(d: Dataset) -> DataFrame:
+    """Orders as they come back from the export of a document store."""
+    return extended_json.parsed_lines(extended_json.export_lines(d.orders), d.orders.schema)
+
+
+@query
+def store_export_items(d: Dataset) -> DataFrame:
+    """Items of delivered orders, from nested documents in the export of a document store."""
+    nested = documents.order_documents(delivered(d), delivered_lines(d), d.products).select("order_id", "items")
+    back = extended_json.parsed_lines(extended_json.export_lines(nested), nested.schema)
+    return documents.explode_items(back)
+
+
+@query
+def export_marks(d: Dataset) -> DataFrame:
+    return extended_json.marked_keys(extended_json.export_lines(d.orders))
+
+
 @query
 def signup_period(d: Dataset) -> DataFrame:
     return profile.period(d.customers, "join_date", "Premier_inscrit", "Dernier_inscrit")

@@ -346,6 +346,13 @@ SELECT model, COUNT(*) AS n_days, {money("predicted_sales")} AS total_predicted,
 FROM ({STORED}) GROUP BY model"""
 
 ORACLE |= {
+    "store_export": ORACLE["scan_orders"],
+    "store_export_items": ORACLE["exploded_items"],
+    "export_marks": """
+SELECT mark, n_lines FROM (
+  SELECT '$date' AS mark, COUNT(o_orderdate) AS n_lines FROM orders
+  UNION ALL SELECT '$numberLong', COUNT(*) FILTER (o_orderkey IS NOT NULL OR o_custkey IS NOT NULL OR o_orderdate IS NOT NULL) FROM orders
+  UNION ALL SELECT '$numberDouble', COUNT(o_totalprice) FROM orders) WHERE n_lines > 0""",
     "statuses_by_count": ORACLE["status_counts"],
     "weekday_forecast": STORED,
     "next_predictions": f"""

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from basketry.schemas import COLLECTIONS
+from basketry.sources import extended_json
 
 log = logging.getLogger(__name__)
 
@@ -29,8 +30,11 @@ def load_table(
 
     File formats take a ``path``; database sources take their own options, for
     example ``fmt="mongodb"`` with ``database=`` and ``collection=`` when that
-    connector is on the cluster's classpath.
+    connector is on the cluster's classpath. ``fmt="extended-json"`` reads what a document store
+    exported, with the store's types; it needs the schema.
     """
+    if fmt == extended_json.FORMAT:
+        return extended_json.read_export(spark, path, schema)
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)

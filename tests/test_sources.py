@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry import schemas
+from basketry.sources import extended_json
 from basketry.sources.readers import list_tables, load_collections, load_first, load_table, table_exists
 from basketry.sources.writers import Target, export_json, json_rows, replace_table, save_results
 from conftest import ITEM, rows_of
@@ -147,3 +148,53 @@ def test_json_rows(spark):
     assert json.loads(json_rows(df).first().json) == {
         "a": "é", "b": None, "items": [{"product_id": "P", "name": None, "price": 1, "quantity": 2}],
     }
+
+
+EXPORT = [
+    '{"_id":{"$oid":"65a1b2c3d4e5f60718293a4b"},"order_id":"ORD-1","customer_id":"CUST-1","date":{"$date":"2024-01-02T08:30:00.250Z"},'
+    '"items":[{"product_id":"P1","name":"Télé","price":{"$numberInt":"10"},"quantity":{"$numberLong":"2"}}],"total_amount":{"$numberDecimal":"20.50"},"payment_method":"carte","status":"livré"}',
+    '{"order_id":"ORD-2","date":{"$date":{"$numberLong":"1704184200250"}},"items":[],"total_amount":{"$numberDouble":"NaN"},"status":null}',
+    '{"order_id":"ORD-3","date":{"$date":1704184200250},"items":[{"product_id":"P2","price":3,"quantity":1},null],"total_amount":7}',
+    '{"order_id":{"$oid":"65a1b2c3d4e5f60718293a4c"},"date":"2024-01-02 08:30:00.250","items":null,"total_amount":"free","customer_id":12,"payment_method":{"kind":"carte"}}',
+    "", "   ", "not json", "[1]", '"text"',
+]
+
+
+def test_store_export_types(spark, tmp_path):
+    (tmp_path / "orders.json").write_text("\n".join(EXPORT), encoding="utf-8")
+    schema = "_id string, " + schemas.ORDERS
+    at = dt.datetime(2024, 1, 2, 8, 30, 0, 250_000)
+    found = {r.order_id: r for r in load_table(spark, f"{tmp_path}/orders.json", "extended-json", schema).collect()}
+    assert len(found) == 4 and {r.date for r in found.values()} == {at}
+    first = found["ORD-1"]
+    assert (first["_id"], first.total_amount, first.status) == ("65a1b2c3d4e5f60718293a4b", 20.5, "livré")
+    assert [tuple(i) for i in first["items"]] == [("P1", "Télé", 10, 2)]
+    assert found["ORD-2"].total_amount != found["ORD-2"].total_amount and found["ORD-2"]["items"] == [] and found["ORD-2"].status is None
+    assert [i and tuple(i) for i in found["ORD-3"]["items"]] == [("P2", None, 3, 1), None] and found["ORD-3"].total_amount == 7.0
+    other = found["65a1b2c3d4e5f60718293a4c"]
+    assert (other["items"], other.total_amount, other.customer_id, other.payment_method) == (None, None, "12", '{"kind":"carte"}')
+    lines = spark.read.text(f"{tmp_path}/orders.json")
+    assert extended_json.rejected_lines(lines).first()["n_rejected"] == 3
+    marks = {r.mark: r.n_lines for r in extended_json.marked_keys(lines).collect()}
+    assert marks == {"$oid": 2, "$date": 3, "$numberInt": 1, "$numberLong": 2, "$numberDouble": 1, "$numberDecimal": 1}
+
+
+def test_store_export_decimals_dates_and_flags(spark):
+    schema = "a decimal(10,2), b date, c boolean, d array<array<int>>, e struct<f:timestamp_ntz,g:string>"
+    lines = ['{"a":{"$numberDecimal":"12.34"},"b":{"$date":"2024-02-29T23:00:00Z"},"c":true,"d":[[1,{"$numberInt":"2"}],[]],"e":{"f":{"$date":0},"g":{"$date":"2024-01-01T00:00:00Z"}}}', '{"c":"maybe","e":[1]}']
+    got = extended_json.parsed_lines(spark.createDataFrame([(x,) for x in lines], "value string"), schema).collect()
+    assert str(got[0].a) == "12.34" and got[0].b == dt.date(2024, 2, 29) and got[0].c is True and got[0].d == [[1, 2], []]
+    assert (got[0].e.f, got[0].e.g) == (dt.datetime(1970, 1, 1), "2024-01-01T00:00:00.000Z")
+    assert tuple(got[1]) == (None, None, None, None, None)
+    with pytest.raises(TypeError, match="map"):
+        extended_json.parsed_lines(spark.createDataFrame([("{}",)], "value string"), "a map<string,int>")
+
+
+def test_both_exports_come_back(spark, orders, tmp_path):
+    export_json(orders, f"{tmp_path}/plain")
+    extended_json.export_lines(orders).write.text(f"{tmp_path}/marked")
+    for name in ("plain", "marked"):
+        back = load_table(spark, f"{tmp_path}/{name}", "extended-json", schemas.ORDERS)
+        assert back.schema.simpleString() == orders.schema.simpleString() and rows_of(back) == rows_of(orders)
+    got = load_collections(spark, [lambda name: {"path": f"{tmp_path}/{name}"}, lambda name: {"path": f"{tmp_path}/marked", "fmt": "extended-json"}])
+    assert got["orders"].count() == 2
