@@ -80,9 +80,7 @@ def _grids(fp: Column, radius: int) -> list[tuple[Column, int]]:
     cells = []
     for lo, hi in zip(borders[:-1], borders[1:]):
         # an even number of bits under 64 each, so that no sum leaves the range of a long
-        bits = F.shiftrightunsigned(fp, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)) if groups > 1 else None
-        if bits is None:
-            raise ValueError("radius must be at least 1")
+        bits = F.shiftrightunsigned(fp, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1))
         ones = F.lit(int("01" * ((hi - lo) // 2), 2))
         cells.append((bits - F.shiftrightunsigned(bits, 1).bitwiseAND(ones), (hi - lo) // 2))
     return cells
@@ -92,11 +90,13 @@ def close_pairs(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Pairs (a, b) of different values of the column fp (distinct longs) within ``radius`` >= 1 bits.
 
     A pair may come once from each group of coordinates. The exact comparison is part of the join's
-    condition: pairs that only share a cell are never rows.
+    condition: pairs that only share a cell are never rows. The grid is that of 2 bits or more; a smaller
+    radius is a matter of the comparison.
     """
-    radius = max(radius, 2)
+    if radius < 1:
+        raise ValueError("radius must be at least 1")
     cells, looks = [], []
-    for g, (cell, n) in enumerate(_grids(F.col("fp"), radius)):
+    for g, (cell, n) in enumerate(_grids(F.col("fp"), max(radius, 2))):
         steps = [F.when(F.shiftrightunsigned(cell, 2 * i).bitwiseAND(F.lit(3)) < 2, cell + F.lit(1 << (2 * i))) for i in range(n)]
         cells.append(fps.select(F.lit(g).alias("g"), cell.alias("cell"), F.col("fp").alias("b")))
         looks.append(fps.select(F.lit(g).alias("g"), cell.alias("own"), F.explode(F.array_compact(F.array(cell, *steps))).alias("cell"), F.col("fp").alias("a")))
@@ -113,10 +113,11 @@ def _roots(fps: DataFrame, radius: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row per row of docs: id, fingerprint (16 hex digits), component_id.
 
-    component_id is the smallest id reachable over links of ``radius`` (at least 2) or fewer differing
+    component_id is the smallest id reachable over links of ``radius`` (at least 1) or fewer differing
     bits. Null, empty and blank texts have fingerprint zero, which links like any other. A row without
     id belongs to its component but never names it; a component of such rows only has no name (null).
-    Repeated rows stay repeated. Other columns are ignored.
+    Repeated rows stay repeated; an empty table gives no rows. A very long text is hashed whole, a part of
+    it at a time. Other columns are ignored, so their names cannot clash.
     """
     marked = written(with_fingerprint(docs, text_col, [id_col], width).toDF("id", "fp"), "fingerprints")
     first = written(marked.groupBy("fp").agg(F.min("id").alias("low")), "distinct-fingerprints")
