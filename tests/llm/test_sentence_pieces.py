@@ -6,10 +6,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer, models, normalizers
 
 from basketry.llm import sentence_pieces as sp
 from basketry.llm.catalog import QUERIES
@@ -70,3 +72,23 @@ def test_unigram_models_keep_their_scores():
     tokenizer = sp.build_tokenizer(model)
     assert tokenizer.encode(" abab").tokens == ["▁ab", "a", "b"]  # ab as one piece scores less than a and b
     assert sp.decode(np.array([5, 2, 3]), np.array([3]), model) == [b"abab"]
+
+
+def characters_only(model):
+    """The library's pieces without any merge."""
+    vocabulary = {p: i for i, p in enumerate(model.pieces)}
+    tokenizer = Tokenizer(models.BPE(vocabulary, [], byte_fallback=True))
+    tokenizer.normalizer = normalizers.Replace(" ", sp.MARK)
+    return tokenizer
+
+
+def test_a_difference_from_the_library_is_an_error(monkeypatch):
+    """A backend without its merges: it differs, and says so instead of giving other ids."""
+    monkeypatch.setattr(sp, "build_tokenizer", characters_only)
+    sp.piece_encoder.cache_clear()
+    try:
+        encoder, _ = sp.piece_encoder(PATH)
+        with pytest.raises(ValueError, match="SentencePiece library"):
+            encoder.tokens(pa.array(["the president of the organisation"]))
+    finally:
+        sp.piece_encoder.cache_clear()
