@@ -7,14 +7,17 @@ their cell's weight per token, and carry what is left of it as a weight for trai
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from basketry.llm.scratch import written
 
-#: Rounds of raking in one job, jobs at most, and the relative error of a share at which it ends.
-ROUNDS, JOBS, CLOSE = 6, 5, 1e-4
+log = logging.getLogger(__name__)
+
+#: Rounds of raking in one job, the relative error of a share at which it ends, and the least fall of that error that is progress.
+ROUNDS, CLOSE, PROGRESS = 6, 1e-4, 0.98
 #: Share of all tokens that is drawn, and the power that tempers the shares of a dimension.
 KEEP, TEMPER = 0.95, 0.8
 SEED = 42
@@ -50,8 +53,13 @@ def tempered(cells: DataFrame, dimension: str, power: float = TEMPER) -> DataFra
     return sums.join(F.broadcast(total)).select(F.col(dimension).alias("value"), (F.col("p") / F.col("all")).alias("share"))  # one row
 
 
-def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS, jobs: int = JOBS, close: float = CLOSE) -> DataFrame:
-    """cells with ``w``: their tokens, scaled so that every dimension has its target shares.
+def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS, close: float = CLOSE) -> DataFrame:
+    """cells with ``w``, their tokens, scaled so that every dimension has its target shares, and ``error``.
+
+    ``error`` says by how much of itself the largest miss among the sums of a cell's categories had to be
+    mended in the last round. Raking goes on until that is below ``close`` everywhere, or stops falling:
+    targets may contradict each other where categories occur together only. Then the last dimension has its
+    shares, and the errors show where the others miss theirs.
 
     ``targets``: (value, share) per dimension; shares are taken among the values that occur, a value
     without a share gets weight 0. Weights sum to the tokens of all cells. A few rounds make a job, whose
@@ -66,7 +74,8 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUND
         goals = there.select(F.col("value").alias(dimension), (F.col("share") * (total / share)).alias(f"goal_{dimension}"))
         now = now.join(goals, dimension, "left")
     now = written(now.withColumn("w", F.col("tokens").cast("double")), "raked")
-    for _ in range(jobs):
+    before = float("inf")
+    while True:
         for number in range(rounds):
             for dimension in targets:
                 s = F.sum("w").over(Window.partitionBy(dimension))
@@ -75,10 +84,13 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUND
                     now = now.withColumn(f"off_{dimension}", F.when(F.col("w") > 0, F.abs(F.col("f") - 1)).otherwise(0.0))
         off = F.greatest(*(F.col(f"off_{d}") for d in targets), F.lit(0.0))
         now = written(now.withColumn("off", off).drop("f", *(f"off_{d}" for d in targets)), "raked")
-        if (now.agg(F.max("off")).first()[0] or 0.0) < close:
+        worst = now.agg(F.max("off")).first()[0] or 0.0
+        if worst < close or worst > before * PROGRESS:
             break
-        now = now.drop("off")
-    return now.drop("off", *(f"goal_{d}" for d in targets))
+        now, before = now.drop("off"), worst
+    if worst >= close:
+        log.warning("raking ends with an error of %.2g: the target shares cannot all be met", worst)
+    return now.withColumnRenamed("off", "error").drop(*(f"goal_{d}" for d in targets))
 
 
 def calibrated(cells: DataFrame, keep: float = KEEP) -> DataFrame:
@@ -115,12 +127,15 @@ def mix(
     lang_col: str = "lang",
     topic: Column | None = None,
 ) -> DataFrame:
-    """docs with mix_topic, mix_tokens, mix_probability, mix_weight and mix_drawn; no row is dropped here.
+    """docs with mix_topic, mix_tokens, mix_probability, mix_weight, mix_error and mix_drawn; no row is dropped here.
+
+    ``mix_error`` is the relative error that raking left in the shares of the row's source, language or
+    topic: about 0 unless the targets contradict each other.
 
     ``targets`` has (value, share) tables for some of source, lang and topic; by default each dimension
     aims at its own shares, tempered. Null text is empty text (its end is its one token); null categories
     form the category ''. Repeated rows have one fate, as the draw depends on the id alone. An empty
-    table gives an empty result. Existing columns of the new names are replaced.
+    table gives an empty result; a very long text counts whole. Existing columns of the new names are replaced.
     """
     # Own columns are set apart by position, so that no name of the caller's can clash.
     names = [f"k{i}" for i in range(len(docs.columns))]
@@ -141,9 +156,9 @@ def _mixed(held, columns, of, topic, text, targets, keep, id_col, source_col, la
     # The cell sums combine before the shuffle: a source of a third of all rows is a few rows there.
     cells = written(measured.groupBy(*keys).agg(F.sum("tokens").alias("tokens")), "cells")
     fitted = calibrated(rake(cells, targets or {k: tempered(cells, k) for k in keys}), keep)
-    fitted = written(fitted.select(*keys, "probability", "weight"), "mixture")
+    fitted = written(fitted.select(*keys, "probability", "weight", "error"), "mixture")
     joined = measured.join(fitted, keys, "left")
-    made = {"mix_topic": F.col("topic"), "mix_tokens": F.col("tokens"), "mix_probability": F.col("probability"), "mix_weight": F.col("weight"), "mix_drawn": F.col("u") < F.col("probability")}
+    made = {"mix_topic": F.col("topic"), "mix_tokens": F.col("tokens"), "mix_probability": F.col("probability"), "mix_weight": F.col("weight"), "mix_error": F.col("error"), "mix_drawn": F.col("u") < F.col("probability")}
     return joined.select(*(F.col(of[c]).alias(c) for c in columns if c not in made), *(v.alias(k) for k, v in made.items()))
 
 

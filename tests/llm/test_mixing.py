@@ -66,7 +66,7 @@ def test_given_targets_and_edge_cases(spark):
     targets = {"source": share({"a": 0.5, "b": 0.3, "c": 0.1, "": 0.1, "absent": 5.0}), "lang": share({"x": 0.6, "y": 0.3, "": 0.1})}
     found = mixing.mix(docs, targets, keep=0.5, topic=F.col("mix_topic")).collect()
     assert len(found) == len(rows)
-    assert found[0].asDict().keys() == {"doc_id", "text", "source", "lang", "tokens", "w", "mix_topic", "mix_tokens", "mix_probability", "mix_weight", "mix_drawn"}
+    assert found[0].asDict().keys() == {"doc_id", "text", "source", "lang", "tokens", "w", "mix_topic", "mix_tokens", "mix_probability", "mix_weight", "mix_error", "mix_drawn"}
     mass = defaultdict(float)
     for r in found:
         mass["source", r["source"] or ""] += r["mix_tokens"] * r["mix_probability"] * r["mix_weight"]
@@ -78,6 +78,27 @@ def test_given_targets_and_edge_cases(spark):
     assert len({r["mix_drawn"] for r in found if r["doc_id"] == 5 and r["text"] == "again"}) == 1
 
 
+def test_targets_that_contradict_each_other_are_reported(spark):
+    """A occurs with x only and B with y only, so the shares of both cannot be 0.9 / 0.1 and 0.2 / 0.8."""
+    cells = spark.createDataFrame([("A", "x", 50), ("B", "y", 50)], "source string, lang string, tokens long")
+    share = lambda values: spark.createDataFrame(list(values.items()), "value string, share double")
+    found = {r["source"]: r for r in mixing.rake(cells, {"source": share({"A": 0.9, "B": 0.1}), "lang": share({"x": 0.2, "y": 0.8})}).collect()}
+    assert found["A"]["w"] == pytest.approx(20) and found["B"]["w"] == pytest.approx(80)
+    assert all(r["error"] > 0.5 for r in found.values())
+    agreed = mixing.rake(cells, {"source": share({"A": 0.2, "B": 0.8}), "lang": share({"x": 0.2, "y": 0.8})}).collect()
+    assert all(r["error"] < mixing.CLOSE for r in agreed)
+
+
+def test_slow_targets_are_raked_to_the_end(spark):
+    """Two nearly separate halves need far more rounds than one job makes."""
+    cells = spark.createDataFrame([("A", "x", 1000), ("A", "y", 1), ("B", "x", 1), ("B", "y", 1000)], "source string, lang string, tokens long")
+    share = lambda values: spark.createDataFrame(list(values.items()), "value string, share double")
+    found = mixing.rake(cells, {"source": share({"A": 0.7, "B": 0.3}), "lang": share({"x": 0.6, "y": 0.4})}).collect()
+    total = sum(r["w"] for r in found)
+    assert sum(r["w"] for r in found if r["source"] == "A") / total == pytest.approx(0.7, abs=1e-3)
+    assert sum(r["w"] for r in found if r["lang"] == "x") / total == pytest.approx(0.6, abs=1e-3)
+
+
 def test_empty_table(spark):
     assert mixing.mix(spark.createDataFrame([], FIELDS)).count() == 0
 
