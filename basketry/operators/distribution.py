@@ -62,21 +62,20 @@ def median_frame(df: DataFrame, column: str = "total_amount") -> DataFrame:
     # As SQL text: a column object for every share would take seconds to build.
     sketch = lambda what, shares: F.expr(f"percentile_approx({what}, array({', '.join(f'{s!r}D' for s in shares)}), {SKETCH_ACCURACY})")
     around = values.agg(F.count("*").alias("all"), sketch("x", [0.5 - 2 / SKETCH_ACCURACY, 0.5 + 2 / SKETCH_ACCURACY]).alias("border"))
-    # Each pass meets the one row of the pass before; as a scalar subquery that row's plan would be repeated for every use.
-    met = values.join(F.broadcast(around), x <= F.col("border")[1])
-    met = met.select("all", F.when(x >= F.col("border")[0], x).alias("inside"))
-    ranged = met.groupBy("all").agg(
+    border = around.select("border").scalar()
+    ranged = values.filter(x <= border[1]).select(F.when(x >= border[0], x).alias("inside")).agg(
         F.count_if(F.col("inside").isNull()).alias("below"), F.count("inside").alias("held"), sketch("inside", [i / RANGES for i in range(RANGES + 1)]).alias("at")
     )
+    ranged = ranged.withColumn("all", around.select("all").scalar())
     # The middle ranks' place among the ranges; the sketch's own error is a hundredth of a range, so two on either side are ample.
-    place = (F.col("all") / 2 - F.col("below")) / F.col("held") * RANGES
+    place = F.try_divide(F.col("all") / 2 - F.col("below"), F.col("held")) * RANGES
     low = F.get("at", F.greatest(F.floor(place) - 2, F.lit(0)).cast("int"))
     high = F.get("at", F.least(F.ceil(place) + 2, F.lit(RANGES)).cast("int"))
-    near = values.join(F.broadcast(ranged.select("all", low.alias("low"), high.alias("high"))), x <= F.col("high"))
-    counted = near.groupBy("all", F.when(x >= F.col("low"), x).alias("x")).agg(F.count("*").alias("n"))
-    ordered = counted.groupBy("all").agg(
+    lowest, highest = (ranged.select(border).scalar() for border in (low, high))
+    counted = values.filter(x <= highest).groupBy(F.when(x >= lowest, x).alias("x")).agg(F.count("*").alias("n"))
+    ordered = counted.agg(
         F.coalesce(F.sum(F.when(x.isNull(), n)), F.lit(0)).alias("before"), F.array_sort(F.collect_list(F.when(x.isNotNull(), F.struct("x", "n")))).alias("values")
-    )
+    ).withColumn("all", around.select("all").scalar())
 
     def step(found: Column, value: Column) -> Column:
         """Adds a value's rows; a and b are the first values whose rank reaches the lower and the upper middle."""
@@ -86,7 +85,7 @@ def median_frame(df: DataFrame, column: str = "total_amount") -> DataFrame:
 
     nothing = F.lit(None).cast("double")
     start = F.struct(F.col("before").alias("upto"), nothing.alias("a"), nothing.alias("b"))
-    middle = ordered.select(F.aggregate("values", start, step).alias("m")).select("m.a", "m.b").agg(F.max("a").alias("a"), F.max("b").alias("b"))  # null for no rows
+    middle = ordered.select(F.aggregate("values", start, step).alias("m")).select("m.a", "m.b")
     both = (F.col("a") + F.col("b")) / 2
     halves = F.col("a") / 2 + F.col("b") / 2  # where the sum leaves the range of doubles
     return middle.select(F.when(F.col("a") == F.col("b"), F.col("a")).when(F.abs(both) < float("inf"), both).otherwise(halves).alias("median"))

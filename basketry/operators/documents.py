@@ -10,6 +10,7 @@ from basketry.functions.money import exact_sum
 from basketry.operators.lookup import attach_record
 from basketry.operators.products import product_lookup
 
+ITEM_FIELDS = ("product_id", "name", "price", "quantity")
 #: An order of more lines, and of more than one in so many of all lines, is gathered in parts of about so many.
 GATHER_LINES, MOST_LARGE = 100_000, 10_000
 
@@ -99,17 +100,18 @@ def order_documents(orders: DataFrame, lines: DataFrame, products: DataFrame, sp
     )
 
 
-def explode_items(documents: DataFrame) -> DataFrame:
-    """Flat item rows of order documents; empty and missing arrays give no row."""
+def explode_items(documents: DataFrame, *fields: str) -> DataFrame:
+    """Flat item rows of order documents; empty and missing arrays give no row, a null item a row of nulls.
+
+    ``fields`` are those of the item that are wanted, by default all. Only their columns of a stored
+    table are read: the fields are taken out of the array one by one and zipped before the explode,
+    since a generator over whole items would ask the scan for all of them.
+    """
     require_columns(documents, "items")
+    fields = fields or ITEM_FIELDS
     others = [c for c in documents.columns if c not in ("items", "part", "items_total")]
-    return documents.select(*others, F.explode("items").alias("item")).select(
-        *others,
-        F.col("item.product_id").alias("product_id"),
-        F.col("item.name").alias("name"),
-        F.col("item.price").alias("price"),
-        F.col("item.quantity").alias("quantity"),
-    )
+    item = F.arrays_zip(*(F.col("items").getField(f).alias(f) for f in fields))
+    return documents.select(*others, F.explode(item).alias("item")).select(*others, *(F.col("item").getField(f).alias(f) for f in fields))
 
 
 def order_item_totals(orders: DataFrame, lines: DataFrame, products: DataFrame) -> DataFrame:

@@ -46,9 +46,9 @@ def training_rows(orders: DataFrame, delivered: Column | None = None, min_rows:
     """
     wanted = delivered_contains() if delivered is None else delivered
     done = orders.filter(wanted)
-    gate = done.select(F.lit(1).alias("one")).limit(min_rows).agg(F.count("one").alias("n")).filter(F.col("n") < min_rows)
-    others = orders.filter(~F.coalesce(wanted, F.lit(False)))
-    return done.union(others.join(F.broadcast(gate), F.lit(True), "left_semi"))  # one row, or none
+    gate = done.select(F.lit(1).alias("one")).limit(min_rows).agg((F.count("one") >= min_rows).alias("enough")).filter(~F.col("enough"))
+    is_done = F.coalesce(wanted, F.lit(False))
+    return done.union(orders.filter(~is_done).join(F.broadcast(gate), is_done == F.col("enough"), "left_semi"))  # one row, or none
 
 
 def calendar_columns(day: Column) -> list[Column]:

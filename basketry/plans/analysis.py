@@ -70,7 +70,7 @@ def run_all(
         out["customer_behavior"] = cust.top_by_orders(behavior, stored_rows)
         out["top_customers"] = cust.top_by_orders(behavior)
     if has_columns(cleaned, "items"):
-        sold = prod.product_sales(documents.explode_items(cleaned.select("items")))
+        sold = prod.product_sales(documents.explode_items(cleaned.select("items"), "product_id", "name", "quantity"))
         out["product_sales"] = prod.top_products_by_count(sold, stored_rows)
         out["top_products"] = prod.top_products_by_count(sold)
     elif has_columns(products, "product_id", "name", "price", "category"):

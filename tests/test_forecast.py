@@ -133,9 +133,9 @@ def test_nothing_runs_before_a_result_is_asked_for(spark):
 
 def test_fallback_reads_other_orders_only_if_needed(spark, sf_dir):
     orders = load_dataset(spark, sf_dir).orders
-    for status, scans in (("F", 1), ("none", 2)):
+    for status, scans in (("F", 1), ("none", 3)):  # with too few delivered orders: these, the count for the gate, and the others
         rows = fc.training_rows(orders, F.col("status") == status)
-        assert rows.count() == orders.filter(F.col("status") == status).count() or scans == 2
+        assert rows.count() == orders.filter(F.col("status") == status).count() or scans > 1
         rows.collect()
         final = rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
         assert final.count("FileScan") == scans

@@ -39,6 +39,22 @@ def test_explode_drops_empty_and_missing(docs):
     assert items.count() == 5
 
 
+def test_only_the_wanted_fields_of_stored_items_are_read(spark, docs, tmp_path):
+    docs.write.parquet(f"{tmp_path}/orders")
+    stored = spark.read.schema(docs.schema).parquet(f"{tmp_path}/orders")
+    counted = documents.explode_items(stored.select("items"), "product_id", "quantity").groupBy("product_id").agg(F.sum("quantity").alias("n"))
+    assert rows_of(counted) == [("P1", 5), ("P2", 1), ("P3", 7)]
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<items:array<struct<product_id:string,quantity:bigint>>>" in plan
+    sales = prod.product_sales(documents.explode_items(stored.select("items"), "product_id", "name", "quantity"))
+    assert "price" not in sales._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_null_item_is_a_row_of_nulls(spark):
+    docs = spark.createDataFrame([("o1", "livré", [None, ("P1", "Alpha", 10, 2)])], DOC_FIELDS)
+    assert rows_of(documents.explode_items(docs)) == [("o1", "livré", None, None, None, None), ("o1", "livré", "P1", "Alpha", 10, 2)]
+
+
 def test_product_sales_counts_lines(docs):
     sales = prod.product_sales(documents.explode_items(docs))
     assert rows_of(sales) == [("P1", "Alpha", 3, 5), ("P2", "Beta", 1, 1), ("P3", None, 1, 7)]
