@@ -29,12 +29,12 @@ from basketry.llm.scratch import fresh_path, written
 #: Longest code in bits, tokens between marks, and tokens after which a block is closed.
 MOST_BITS, STEP, BLOCK_TOKENS = 18, 128, 1 << 18
 
-STAGED = "part int, start long, doc_ids array<long>, counts array<long>, ids binary"
+STAGED = "part int, start long, doc_ids array<long>, counts array<long>, ids binary, seen binary, times binary"
 BLOCKS = "start long, doc_ids array<long>, counts array<long>, marks binary, bits binary"
 
 
 def _staged(docs: DataFrame, path: str, end_id: int | None, id_col: str, text_col: str, block_tokens: int) -> DataFrame:
-    """Blocks of plain ids; ``part`` numbers the id ranges, ``start`` counts within a part."""
+    """Blocks of plain ids; ``part`` numbers the id ranges, ``start`` counts within a part; ``times`` counts the ids ``seen``."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, start = json_encoder(path), TaskContext.get().partitionId(), 0
@@ -73,24 +73,30 @@ def _staged(docs: DataFrame, path: str, end_id: int | None, id_col: str, text_co
 def _block(part: int, start: int, doc_ids: list, counts: list, ids: list) -> pa.RecordBatch:
     names, n, flat = pa.concat_arrays(doc_ids), np.concatenate(counts), np.concatenate(ids)
     one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+    packed = lambda values: pa.array([values.astype("<u4").tobytes()], pa.binary())
+    times = np.bincount(flat, minlength=1)
+    seen = np.flatnonzero(times)
     return pa.RecordBatch.from_arrays(
-        [pa.array([part], pa.int32()), pa.array([start], pa.int64()), one(names), one(pa.array(n, pa.int64())), pa.array([flat.astype("<u4").tobytes()], pa.binary())],
-        ["part", "start", "doc_ids", "counts", "ids"],
+        [pa.array([part], pa.int32()), pa.array([start], pa.int64()), one(names), one(pa.array(n, pa.int64())), packed(flat), packed(seen), packed(times[seen])],
+        ["part", "start", "doc_ids", "counts", "ids", "seen", "times"],
     )
 
 
 def _id_counts(staged: DataFrame) -> DataFrame:
+    """(id, n) over all blocks, from the blocks' own counts: the ids themselves are not read again."""
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                found = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"), minlength=len(total))
-                found[: len(total)] += total
-                total = found
+            for seen, times in zip(*batch.columns):
+                seen, times = np.frombuffer(seen.as_buffer(), "<u4"), np.frombuffer(times.as_buffer(), "<u4")
+                if len(seen) and seen[-1] >= len(total):
+                    total = np.append(total, np.zeros(int(seen[-1]) + 1 - len(total), np.int64))
+                total[seen] += times
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
 
-    return staged.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return staged.select("seen", "times").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_tokens(
@@ -99,8 +105,9 @@ def write_tokens(
     """Encode every text, append end_id, and write the token table to ``path``; returns the path.
 
     Documents follow each other in ascending id order, null ids first; rows with the same id stand
-    side by side, ordered by text. A null or empty text has no tokens of its own. An empty table gives
-    empty ``codes`` and ``blocks``. What reaches the driver is one row per distinct id (at most the
+    side by side, ordered by text. A null or empty text has no tokens of its own. A very long text is
+    encoded whole and stays in one block, which is then as long as the text. An empty table gives empty
+    ``codes`` and ``blocks``. Other columns are ignored, so their names cannot clash. What reaches the driver is one row per distinct id (at most the
     vocabulary) and one per range partition.
     """
     spark = docs.sparkSession
@@ -108,7 +115,7 @@ def write_tokens(
     counts = np.array(sorted((r["id"], r["n"]) for r in _id_counts(staged).collect()), np.int64).reshape(-1, 2)
     ids, lengths = counts[:, 0], code_lengths(counts[:, 1], MOST_BITS)
     spark.createDataFrame([(int(i), int(b)) for i, b in zip(ids, lengths)], "id long, bits int").coalesce(1).write.parquet(f"{path}/codes")
-    sizes = staged.groupBy("part").agg(F.sum(F.length("ids") / 4).cast("long").alias("n")).orderBy("part").collect()
+    sizes = staged.groupBy("part").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)).cast("long").alias("n")).orderBy("part").collect()
     before, first = 0, {}
     for row in sizes:
         first[row["part"]] = before
@@ -125,7 +132,7 @@ def write_tokens(
                     ["start", "doc_ids", "counts", "marks", "bits"],
                 )
 
-    staged.mapInArrow(pack, BLOCKS).write.parquet(f"{path}/blocks")
+    staged.drop("seen", "times").mapInArrow(pack, BLOCKS).write.parquet(f"{path}/blocks")
     return path
 
 
