@@ -8,6 +8,7 @@ worker keeps the ids of pieces it has seen (a bounded cache) and the tokenizer s
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -72,6 +73,14 @@ def balanced(batches: Iterator[pa.RecordBatch], column: int, most: int = SPAN_BY
             at = upto
 
 
+def give_back() -> None:
+    """Return freed memory to the system. A Python worker outlives its tasks, beside a JVM that needs the room."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indexes start, start + 1, ... of every (start, length), one after another."""
     ends = np.cumsum(lengths)
