@@ -46,8 +46,8 @@ CHUNK_BYTES, ROUNDS, STEP_IDS, RATE = 4 << 20, 2, 40_000, 0.004
 BATCH, START_CHUNKS, START_STEPS, START_RATE = 96, 24, 1_500, 0.015
 #: One in so many training texts decides the weights of the mixture.
 MIX_SHARE = 32
-#: Words that are scored at a time, and pieces of text that a worker keeps: words come from dictionaries and repeat little.
-GROUP_WORDS, KEPT_PIECES = 100_000, 100_000
+#: Words of a chunk's dictionary that are spelled at a time, words that are scored at a time, and pieces of text that a worker keeps: words come from dictionaries and repeat little.
+SPELLED_WORDS, GROUP_WORDS, KEPT_PIECES = 8_000, 100_000, 100_000
 MIXES = tuple((b, c) for b in (0.02, 0.05, 0.1, 0.15, 0.2, 0.3) for c in (0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.5))
 #: Averages of weights that reach the driver.
 AVERAGES = 32
@@ -63,6 +63,16 @@ def _unpack(data: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(data), kind)
 
 
+def _spellings(encoder: PieceEncoder, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Number of ids of each word after a space, and all ids. Some words at a time, as the tokenizer's results are far larger than their ids."""
+    sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+    for lo in range(0, len(words), SPELLED_WORDS):
+        found = encoder.tokens(pa.array([b" " + w for w in words[lo : lo + SPELLED_WORDS]], pa.binary()).cast(pa.large_binary()).view(pa.large_string()))
+        sizes.append(found[0])
+        ids.append(found[1])
+    return np.concatenate(sizes), np.concatenate(ids)
+
+
 def _chunks(docs: DataFrame, path: str, id_col: str, text_col: str, folds: int, fold: int) -> DataFrame:
     """Documents as indexes into a chunk's list of distinct words; ``words`` are joined by line feeds.
 
@@ -82,7 +92,7 @@ def _chunks(docs: DataFrame, path: str, id_col: str, text_col: str, folds: int,
             held = [i is not None and crc32(str(i).encode()) % folds == fold for i in batch.column(0).to_pylist()]
             known = coded.dictionary.to_pylist()
             words = np.frombuffer(b"\n".join(known), np.uint8)
-            sizes, ids = encoder.tokens(pa.array([b" " + w for w in known], pa.binary()).cast(pa.large_binary()).view(pa.large_string()))
+            sizes, ids = _spellings(encoder, known)
             one = lambda v, kind: pa.array([v], pa.list_(kind))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part << 32 | number], pa.int64()), one(batch.column(0).to_pylist(), pa.int64()), one(held, pa.bool_()), one(counts, pa.int64()),
@@ -194,7 +204,10 @@ def _speller(path: str) -> tuple[PieceEncoder, int, np.ndarray]:
     begins = np.zeros(end + 1)
     begins[[i for t, i in vocabulary.items() if t[0] == "Ġ"]] = 1
     begins[end] = 1
-    return json_encoder(path, KEPT_PIECES), end, begins
+    encoder = json_encoder(path, KEPT_PIECES)
+    del vocabulary
+    give_back()
+    return encoder, end, begins
 
 
 def _drawn(c: Chunk, end: int, n: int, classes: Classes, rng: np.random.Generator) -> tuple[np.ndarray, ...]:

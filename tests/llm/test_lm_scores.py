@@ -209,3 +209,19 @@ def test_ids_are_counted_over_all_training_words(docs_of, monkeypatch):
     expected = attention.Classes.of(counts, begins)
     assert (found.outputs == expected.outputs).all() and (found.inputs == expected.inputs).all()
     np.testing.assert_allclose(found.log_share, expected.log_share)
+
+
+def test_the_tokenizer_gets_few_words_at_a_time(monkeypatch):
+    """Its results are far larger than the ids; spelled in parts, the ids are those of all words at once."""
+    words = [f"word{i}".encode() for i in range(30_000)] + [b"", "\u00e9".encode(), b"\xff"]
+    given = []
+
+    def encode(pieces, first):
+        given.append(sum(map(len, pieces)))
+        return inner(pieces, first)
+
+    encoder = lm_scores.PieceEncoder(inner := lm_scores._speller(PATH)[0].encode, False)
+    whole = encoder.tokens(pa.array([b" " + w for w in words], pa.binary()).cast(pa.large_binary()).view(pa.large_string()))
+    sizes, ids = lm_scores._spellings(lm_scores.PieceEncoder(encode, False), words)
+    assert sizes.tolist() == whole[0].tolist() and ids.tolist() == whole[1].tolist()
+    assert max(given) < 0.4 * sum(given)
