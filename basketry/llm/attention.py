@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -75,7 +76,8 @@ def _forward(w: dict, x: np.ndarray, there: np.ndarray) -> tuple:
     s = q @ k.transpose(0, 2, 1)
     s *= WIDTH**-0.5
     s += np.where(_CAUSAL, w["rel"][np.abs(_DISTANCE)], np.float32(-1e9))
-    s[~np.broadcast_to(there[:, None, :], s.shape)] = -1e9
+    if not there.all():
+        s += np.where(there, np.float32(0), np.float32(-1e9))[:, None, :]
     s -= s.max(-1, keepdims=True)
     np.exp(s, out=s)
     s /= s.sum(-1, keepdims=True)
@@ -130,7 +132,7 @@ def log_probabilities(w: dict, classes: Classes, ids: np.ndarray, targets: np.nd
 
 def _summed(rows: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     out = np.zeros((n, rows.shape[1]), np.float32)
-    order = np.argsort(at, kind="stable")
+    order = np.argsort(at.astype(np.uint16), kind="stable")  # at most 65,536 classes; short integers sort by digits
     at = at[order]
     first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
     out[at[first]] = np.add.reduceat(rows[order], first, axis=0)
@@ -140,41 +142,59 @@ def _summed(rows: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
 def gradient(w: dict, x: np.ndarray, there: np.ndarray, use: np.ndarray, y: np.ndarray) -> tuple[dict, float]:
     """Gradient of the mean negative log-likelihood of the classes y, and that mean."""
     q, k, v, a, h = _forward(w, x, there)
-    z = h @ w["e"] + w["b"]
-    z -= z.max(-1, keepdims=True)
-    p = np.exp(z)
+    flat_h = h[use]
+    p = flat_h @ w["e"]
+    p += w["b"]
+    p -= p.max(-1, keepdims=True)
+    np.exp(p, out=p)
     p /= p.sum(-1, keepdims=True)
-    i, j = np.nonzero(use)
-    loss = -np.log(p[i, j, y[i, j]] + 1e-30).mean()
-    p[i, j, y[i, j]] -= 1
-    p[~use] = 0
-    p /= len(i)
-    flat_h, flat_p = h.reshape(-1, WIDTH), p.reshape(-1, OUTPUTS)
-    du = (p @ w["e"].T) * (1 - h * h)
-    da = du @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(-1, keepdims=True))
+    spot = np.arange(len(p)), y[use]
+    loss = -np.log(p[spot] + 1e-30).mean()
+    p[spot] -= 1
+    p /= len(p)
+    du = np.zeros_like(h)
+    du[use] = (p @ w["e"].T) * (1 - flat_h * flat_h)
+    ds = du @ v.transpose(0, 2, 1)
+    ds -= (ds * a).sum(-1, keepdims=True)
+    ds *= a
     scale = WIDTH**-0.5
-    xq = x[:, WINDOW - STEP :].ravel()
     rel = np.bincount(np.abs(_DISTANCE)[_CAUSAL], weights=ds.sum(0)[_CAUSAL], minlength=WINDOW)
+    from_keys = _summed(np.concatenate([ds.transpose(0, 2, 1) @ q * scale, a.transpose(0, 2, 1) @ du], -1).reshape(-1, 2 * WIDTH), x.ravel(), INPUTS)
+    from_queries = _summed(np.concatenate([ds @ k * scale, du], -1).reshape(-1, 2 * WIDTH), x[:, WINDOW - STEP :].ravel(), INPUTS)
     return {
-        "q": _summed((ds @ k * scale).reshape(-1, WIDTH), xq, INPUTS), "k": _summed((ds.transpose(0, 2, 1) @ q * scale).reshape(-1, WIDTH), x.ravel(), INPUTS),
-        "v": _summed((a.transpose(0, 2, 1) @ du).reshape(-1, WIDTH), x.ravel(), INPUTS), "r": _summed(du.reshape(-1, WIDTH), xq, INPUTS),
-        "rel": rel.astype(np.float32), "e": flat_h.T @ flat_p, "b": flat_p.sum(0),
+        "q": from_queries[:, :WIDTH], "k": from_keys[:, :WIDTH], "v": from_keys[:, WIDTH:], "r": from_queries[:, WIDTH:],
+        "rel": rel.astype(np.float32), "e": flat_h.T @ p, "b": p.sum(0),
     }, float(loss)
 
 
-def train(w: dict, x: np.ndarray, there: np.ndarray, use: np.ndarray, y: np.ndarray, steps: int, rate: float, seed: int, batch: int) -> tuple[dict, float]:
-    """Weights after some Adam steps on windows (input classes, which keys exist, which positions count, output classes), and the mean loss of the last tenth of them."""
-    if not len(x):
-        return w, 0.0
-    rng, w, losses = np.random.default_rng(seed), {n: v.copy() for n, v in w.items()}, []
+def descend(w: dict, batches: Iterable[tuple[np.ndarray, ...]], rate: float) -> tuple[dict, float]:
+    """Weights after one Adam step on each batch (input classes, which keys exist, which positions count, output classes), and the mean loss of the last tenth."""
+    w, losses, room = {n: v.copy() for n, v in w.items()}, [], {n: np.empty_like(v) for n, v in w.items()}
     mean, square = ({n: np.zeros_like(v) for n, v in w.items()} for _ in range(2))
-    for step in range(1, steps + 1):
-        rows = rng.integers(0, len(x), batch)
-        slopes, loss = gradient(w, x[rows], there[rows], use[rows], y[rows])
+    for step, drawn in enumerate(batches, 1):
+        slopes, loss = gradient(w, *drawn)
         losses.append(loss)
         for n, slope in slopes.items():
-            mean[n] = 0.9 * mean[n] + 0.1 * slope
-            square[n] = 0.99 * square[n] + 0.01 * slope * slope
-            w[n] -= np.float32(rate / (1 - 0.9**step)) * mean[n] / (np.sqrt(square[n] / np.float32(1 - 0.99**step)) + 1e-8)
-    return w, float(np.mean(losses[-max(1, steps // 10) :]))
+            m, s, x = mean[n], square[n], room[n]
+            m *= 0.9
+            m += np.multiply(slope, 0.1, out=x)
+            s *= 0.99
+            np.multiply(slope, slope, out=x)
+            x *= 0.01
+            s += x
+            np.sqrt(s, out=x)
+            x *= (1 - 0.99**step) ** -0.5
+            x += 1e-8
+            np.divide(m, x, out=x)
+            x *= rate / (1 - 0.9**step)
+            w[n] -= x
+    return w, float(np.mean(losses[-max(1, len(losses) // 10) :])) if losses else 0.0
+
+
+def train(w: dict, x: np.ndarray, there: np.ndarray, use: np.ndarray, y: np.ndarray, steps: int, rate: float, seed: int, batch: int) -> tuple[dict, float]:
+    """``descend`` for some steps, each on a batch drawn from the windows given."""
+    if not len(x):
+        return w, 0.0
+    rng = np.random.default_rng(seed)
+    draws = (rng.integers(0, len(x), batch) for _ in range(steps))
+    return descend(w, ((x[rows], there[rows], use[rows], y[rows]) for rows in draws), rate)

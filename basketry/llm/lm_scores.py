@@ -12,12 +12,11 @@ other and the probabilities of all words sum to one.
 
 Texts are gathered in chunks with a dictionary of their distinct words, so that what is shuffled is a
 row per distinct word and chunk, not per word, and a word is spelled in ids once per chunk. The attention
-starts from one task's training on windows of a few chunks. Then every chunk trains it, from the weights of
-the round before, and the chunks' weights are averaged. The windows of a step are drawn from all training
-texts of the chunk, at any place of them, and the steps are in proportion to the chunk's ids. So all parts
-of the corpus and of a text take part in training, and training grows with the corpus. The weights a, b, c
-are the best of a few for whole texts from all chunks, one in MIX_SHARE, with each word's own occurrence
-taken out of its count.
+starts from one task's training on windows of a few chunks; these are first values only. Then the chunks
+train it in rounds, each from the averaged weights of the round before. The training texts of a chunk are
+dealt to the rounds, and every window of a round's texts is in exactly one step. So every id of every
+training text is learned from. The texts are scored with all candidates for the weights a, b, c; those under
+which all training texts are likeliest, with each word's own occurrence taken out of its count, are kept.
 """
 
 from __future__ import annotations
@@ -35,20 +34,20 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from basketry.llm.attention import STEP, WINDOW, Classes, Windows, log_probabilities, start_weights, train
+from basketry.llm.attention import STEP, WINDOW, Classes, Windows, descend, log_probabilities, start_weights, train
 from basketry.llm.pieces import PieceEncoder, balanced, column_bytes, give_back, json_encoder, ragged
 from basketry.llm.scratch import written
 from basketry.llm.simhash import words_of
 
-#: Text of a chunk in bytes, rounds of training, ids for which a chunk takes one Adam step in a round, and the rate.
-CHUNK_BYTES, ROUNDS, STEP_IDS, RATE = 4 << 20, 2, 40_000, 0.004
+#: Text of a chunk in bytes, rounds of training, and the rate.
+CHUNK_BYTES, ROUNDS, RATE = 4 << 20, 2, 0.004
 #: Windows of a step. Chunks, Adam steps and rate of the start.
 BATCH, START_CHUNKS, START_STEPS, START_RATE = 96, 24, 1_500, 0.015
-#: One in so many training texts decides the weights of the mixture.
-MIX_SHARE = 32
 #: Words of a chunk's dictionary that are spelled at a time, words that are scored at a time, and pieces of text that a worker keeps: words come from dictionaries and repeat little.
 SPELLED_WORDS, GROUP_WORDS, KEPT_PIECES = 8_000, 100_000, 100_000
+#: Candidates for the weights b and c of the mixture. Tokens whose probabilities are multiplied before a logarithm is taken.
 MIXES = tuple((b, c) for b in (0.02, 0.05, 0.1, 0.15, 0.2, 0.3) for c in (0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.5))
+FACTORS = 512
 #: Averages of weights that reach the driver.
 AVERAGES = 32
 
@@ -218,6 +217,20 @@ def _drawn(c: Chunk, end: int, n: int, classes: Classes, rng: np.random.Generato
     return classes.inputs[before[at]], there, use, classes.outputs[ids[at[:, WINDOW - STEP :]]]
 
 
+def _every(c: Chunk, end: int, classes: Classes, number: int, rounds: int) -> tuple[int, Iterator[tuple[np.ndarray, ...]]]:
+    """Ids of a round's training texts, and all their windows in batches for ``descend``, in an order of chance."""
+    before, ids, lengths, *_ = c.streams(np.flatnonzero(~c.held)[number::rounds], end)
+    laid, inputs, outputs = Windows(lengths), classes.inputs[before], classes.outputs[ids]
+    order = np.random.default_rng([number, c.chunk]).permutation(len(laid))
+
+    def batches() -> Iterator[tuple[np.ndarray, ...]]:
+        for lo in range(0, len(order), BATCH):
+            at, there, use = laid[order[lo : lo + BATCH]]
+            yield inputs[at], there, use, outputs[at[:, WINDOW - STEP :]]
+
+    return len(ids), batches()
+
+
 def _id_counts(c: Chunk, end: int) -> np.ndarray:
     """How often each id is in a chunk's training texts."""
     total = np.bincount(c.ids, weights=np.repeat(c.train_counts(), c.sizes), minlength=end + 1).astype(np.int64)
@@ -231,8 +244,8 @@ def _some(rows: DataFrame, chunks: DataFrame, n: int) -> DataFrame:
     return rows.join(F.broadcast(few), "chunk", "left_semi")
 
 
-def train_model(chunks: DataFrame, path: str, rounds: int = ROUNDS, step_ids: int = STEP_IDS) -> tuple[dict, Classes]:
-    """Attention weights, from windows of every chunk, and classes of ids, from all training words."""
+def train_model(chunks: DataFrame, path: str, rounds: int = ROUNDS) -> tuple[dict, Classes]:
+    """Attention weights, from all windows of all training texts, and classes of ids, from all training words."""
     _, end, begins = _speller(path)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,13 +276,10 @@ def train_model(chunks: DataFrame, path: str, rounds: int = ROUNDS, step_ids: in
         def learn(batches: Iterator[pa.RecordBatch], weights=weights, number=number) -> Iterator[pa.RecordBatch]:
             total, n = None, 0.0
             for row in _rows(batches):
-                c = Chunk(row)
-                size = int(c.sizes @ c.train_counts()) + int((~c.held).sum())
+                size, every = _every(Chunk(row), end, classes, number, rounds)
                 if not size:
                     continue
-                steps = -(-size // step_ids)
-                drawn = _drawn(c, end, steps * BATCH, classes, np.random.default_rng([number, c.chunk]))
-                found, _ = train(weights, *drawn, steps, RATE / (1 + number), number, BATCH)
+                found, _ = descend(weights, every, RATE / (1 + number))
                 total = {k: size * v + (total[k] if total else 0) for k, v in found.items()}
                 n += size
             if total:
@@ -286,7 +296,7 @@ def train_model(chunks: DataFrame, path: str, rounds: int = ROUNDS, step_ids: in
 
         sums = chunks.mapInArrow(learn, "g int, n double, w binary").repartition(AVERAGES, "g").mapInArrow(average, "n double, w binary").collect()
         if not sums:
-            break
+            continue
         n = sum(r["n"] for r in sums)
         found = [pickle.loads(r["w"]) for r in sums]  # at most AVERAGES
         weights = {k: (sum(f[k] for f in found) / n).astype(np.float32) for k in weights}
@@ -317,35 +327,30 @@ def _so_far(token: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return met / np.maximum(place, 1), place == 0
 
 
-def _mixed(share: np.ndarray, so_far: np.ndarray, opening: np.ndarray, spelled: np.ndarray, mix: tuple[float, float]) -> np.ndarray:
-    """log10 of the mixture; spellings too rare for a double are taken in logarithms."""
-    b, c = mix
-    plain = np.where(opening, (1 - c) * share, (1 - b - c) * share + b * so_far)
-    out = np.log10(plain + c * np.exp(np.maximum(spelled, -650.0)))
-    rare = (plain == 0) & (spelled < -600)
-    out[rare] = (spelled[rare] + np.log(c)) / np.log(10)
-    return out
-
-
-def fit_mix(opened: DataFrame, end: int, weights: dict, classes: Classes, n: int, ends: int) -> tuple[float, float]:
-    """The weights among MIXES under which one in MIX_SHARE training texts, whole, are likeliest."""
+def _mixed(share: np.ndarray, so_far: np.ndarray, opening: np.ndarray, spelled: np.ndarray, first: np.ndarray, mixes: tuple) -> np.ndarray:
+    """log10 of each text's probability under each of the mixes (texts x mixes); ``first``: where each text's tokens start.
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(MIXES))
-        for row in _rows(batches):
-            c = Chunk(row)
-            texts = np.array([i for i, d in enumerate(c.doc_ids) if not c.held[i] and crc32(f"{c.chunk} {d} {i}".encode()) % MIX_SHARE == 0], np.int64)
-            if not len(texts):
-                continue
-            before, ids, lengths, per_token, counts, index = c.streams(texts, end)
-            spelled = _spelled(*log_probabilities(weights, classes, before, ids, lengths), counts, per_token)
-            seen = np.insert(_unpack(row["known"], "<i8")[index] if len(index) else index, np.cumsum(counts), ends)
-            so_far = _so_far(np.insert(index.astype(np.int64), np.cumsum(counts), -1), counts)
-            total += [_mixed((seen - 1) / max(n - 1, 1), *so_far, spelled, m).sum() for m in MIXES]
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(MIXES)), pa.int32()), pa.array(total)], ["i", "s"])
-
-    sums = {r["i"]: r["s"] for r in opened.mapInArrow(work, "i int, s double").groupBy("i").agg(F.sum("s").alias("s")).collect()}
-    return max(MIXES, key=lambda m: sums.get(MIXES.index(m), 0.0))
+    Probabilities are multiplied, their binary exponents added apart, so that few logarithms are taken and none
+    of the products leaves the range of a double. Spellings too rare for a double are taken in logarithms.
+    """
+    size = np.diff(np.append(first, len(share)))
+    parts = -(-size // FACTORS)
+    at = ragged(np.zeros(len(first), np.int64), parts).astype(np.int64) * FACTORS + np.repeat(first, parts)
+    text = np.cumsum(parts) - parts
+    spell = np.exp(np.maximum(spelled, -650.0))
+    so_far = np.where(opening, share, so_far)  # an opening has no text so far, its share of the training tokens stands for it
+    rare = np.flatnonzero((share == 0) & (so_far == 0) & (spelled < -600))
+    spell[rare] = 1.0
+    owner = np.searchsorted(first, rare, side="right") - 1
+    extra = np.bincount(owner, weights=spelled[rare], minlength=len(first)) / np.log(10)
+    out = np.empty((len(first), len(mixes)))
+    for i, (b, c) in enumerate(mixes):
+        bits = ((1 - b - c) * share + b * so_far + c * spell).view(np.int64)
+        exponent = np.add.reduceat((bits >> 52) - 1023, at)
+        bits &= (1 << 52) - 1
+        bits |= 1023 << 52
+        out[:, i] = np.add.reduceat(np.log10(np.multiply.reduceat(bits.view(np.float64), at)) + exponent * np.log10(2), text) + extra
+    return out
 
 
 def score(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, fold: int = 2) -> DataFrame:
@@ -365,9 +370,9 @@ def score(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
     n, v = n + ends, (known.agg(F.sum("fresh")).first()[0] or 0) + (ends > 0)
     weights, classes = train_model(chunks, path)
     opened = chunks.join(known.select("chunk", F.col("counts").alias("known")), "chunk", "left")
-    mix = fit_mix(opened, end, weights, classes, n, ends)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        several = lambda rows: pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), len(MIXES)).cast(pa.list_(pa.float64()))
         for row in _rows(batches):
             c = Chunk(row)
             count = _unpack(row["known"], "<i8") if row["known"] else np.zeros(0, np.int64)
@@ -378,17 +383,27 @@ def score(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
                 seen = of_word[token]
                 base = np.log10((seen + 1) / (n + v + 1))
                 right, start = log_probabilities(weights, classes, before, ids, lengths)
-                mixed = _mixed(seen / max(n, 1), *_so_far(token, counts), _spelled(right, start, counts, per_token), mix)
                 first = np.cumsum(counts + 1) - counts - 1
+                rest = *_so_far(token, counts), _spelled(right, start, counts, per_token)
+                scores = _mixed(seen / max(n, 1), *rest, first, MIXES)
                 known_tokens = np.add.reduceat((seen > 0).astype(np.int64), first)
+                learned = np.flatnonzero(~c.held[texts])
+                fits = [None] * len(texts)
+                if len(learned):
+                    chosen = ragged(first[learned], counts[learned] + 1)
+                    begins = np.cumsum(counts[learned] + 1) - counts[learned] - 1
+                    fits[0] = _mixed((seen[chosen] - 1) / max(n - 1, 1), *(x[chosen] for x in rest), begins, MIXES).sum(0).tolist()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([c.doc_ids[i] for i in texts], pa.int64()), pa.array(c.held[texts]), pa.array(counts + 1), pa.array(known_tokens),
-                     pa.array(np.full(len(first), n, np.int64)), pa.array(np.add.reduceat(base, first)), pa.array(np.add.reduceat(mixed, first))],
-                    ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+                     pa.array(np.full(len(first), n, np.int64)), pa.array(np.add.reduceat(base, first)), several(scores), pa.array(fits, pa.list_(pa.float64()))],
+                    ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "scores", "fits"],
                 )
 
-    found = opened.mapInArrow(work, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    return found.withColumnRenamed("id", id_col)
+    found = opened.mapInArrow(work, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, scores array<double>, fits array<double>")
+    found = written(found, "scores")  # under all candidates, as a text's best needs all training texts
+    fits = found.where("fits is not null").agg(*(F.sum(F.col("fits")[i]).alias(str(i)) for i in range(len(MIXES)))).first()
+    best = max(range(len(MIXES)), key=lambda i: fits[i] or 0.0)
+    return found.withColumn("score", F.col("scores")[best]).drop("scores", "fits").withColumnRenamed("id", id_col)
 
 
 def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

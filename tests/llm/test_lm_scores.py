@@ -211,6 +211,54 @@ def test_ids_are_counted_over_all_training_words(docs_of, monkeypatch):
     np.testing.assert_allclose(found.log_share, expected.log_share)
 
 
+def test_every_training_window_is_learned_from_once(docs_of):
+    """Over the rounds, the positions that count are all ids of all training texts, each once."""
+    end = lm_scores._speller(PATH)[1]
+    rows = [(d, " ".join(f"word{d} x{i}" for i in range(d * 7 % 90))) for d in range(60)] + [(None, "no id " * 500), (70, None)]
+    for c in opened(docs_of, rows):
+        known = attention.Classes.of(np.arange(end + 1.0), np.zeros(end + 1))
+        identity = attention.Classes(np.arange(end + 1), np.arange(end + 1), known.log_share, known.begins)
+        learned, sizes = [], 0
+        for number in range(3):
+            size, batches = lm_scores._every(c, end, identity, number, 3)
+            sizes += size
+            for x, there, use, y in batches:
+                assert len(x) <= lm_scores.BATCH and x.shape[1] == attention.WINDOW
+                learned += y[use].tolist()
+        _, ids, *_ = c.streams(np.flatnonzero(~c.held), end)
+        assert sizes == len(ids) and sorted(learned) == sorted(ids.tolist())
+
+
+def test_candidates_of_the_mixture(monkeypatch):
+    """Products by parts equal sums of logarithms, also for spellings beyond the range of a double."""
+    monkeypatch.setattr(lm_scores, "FACTORS", 7)
+    rng = np.random.default_rng(4)
+    counts = np.array([30, 0, 7, 1])
+    first = np.cumsum(counts + 1) - counts - 1
+    n = int((counts + 1).sum())
+    share, so_far, spelled = rng.random(n) * 1e-3, rng.random(n), -rng.random(n) * 40
+    opening = np.isin(np.arange(n), first)
+    share[3], so_far[3], spelled[3] = 0, 0, -2_000.0
+    found = lm_scores._mixed(share, so_far, opening, spelled, first, lm_scores.MIXES)
+    for i, (b, c) in enumerate(lm_scores.MIXES):
+        plain = [(1 - c) * s if o else (1 - b - c) * s + b * f for s, f, o in zip(share, so_far, opening)]
+        logs = [math.log10(p + c * math.exp(x)) if p else (x + math.log(c)) / math.log(10) for p, x in zip(plain, spelled)]
+        np.testing.assert_allclose(found[:, i], np.add.reduceat(logs, first), rtol=1e-9)
+
+
+def test_the_mixture_follows_from_all_training_texts(docs_of, monkeypatch):
+    """One text in few repeats its words; it decides, wherever it is, as it holds most of the tokens."""
+    monkeypatch.setattr(lm_scores, "START_STEPS", 6)
+    monkeypatch.setattr(lm_scores, "MIXES", ((0.02, 0.05), (0.9, 0.05)))
+    plain = [(d, f"a{d} b{d} c{d} d{d}") for d in range(10) if crc32(str(d).encode()) % 7 != 2]
+    for d in [d for d in range(100, 140) if crc32(str(d).encode()) % 7 != 2][:3]:
+        rows = [*plain, (d, "again " * 3_000 + " ".join(f"w{i} w{i}" for i in range(30)))]
+        scores = {r["doc_id"]: r["score"] for r in lm_scores.score(docs_of(rows), PATH).collect()}
+        monkeypatch.setattr(lm_scores, "MIXES", ((0.9, 0.05),))
+        assert scores == pytest.approx({r["doc_id"]: r["score"] for r in lm_scores.score(docs_of(rows), PATH).collect()}, rel=1e-6)
+        monkeypatch.setattr(lm_scores, "MIXES", ((0.02, 0.05), (0.9, 0.05)))
+
+
 def test_the_tokenizer_gets_few_words_at_a_time(monkeypatch):
     """Its results are far larger than the ids; spelled in parts, the ids are those of all words at once."""
     words = [f"word{i}".encode() for i in range(30_000)] + [b"", "\u00e9".encode(), b"\xff"]
