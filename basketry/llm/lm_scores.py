@@ -37,20 +37,24 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from basketry.llm.attention import STEP, WINDOW, Classes, Windows, descend, log_probabilities, start_weights, train
 from basketry.llm.pieces import PieceEncoder, balanced, column_bytes, give_back, json_encoder, ragged
 from basketry.llm.scratch import written
-from basketry.llm.simhash import words_of
+from basketry.llm.simhash import PART_BYTES, _SPACE
 
 #: Text of a chunk in bytes, rounds of training, and the rate.
 CHUNK_BYTES, ROUNDS, RATE = 4 << 20, 2, 0.004
 #: Windows of a step. Chunks, Adam steps and rate of the start.
 BATCH, START_CHUNKS, START_STEPS, START_RATE = 96, 24, 1_500, 0.015
-#: Words of a chunk's dictionary that are spelled at a time, words that are scored at a time, and pieces of text that a worker keeps: words come from dictionaries and repeat little.
-SPELLED_WORDS, GROUP_WORDS, KEPT_PIECES = 8_000, 100_000, 100_000
+#: Words of a chunk's dictionary that are spelled at a time, and words that are scored at a time.
+SPELLED_WORDS, GROUP_WORDS = 8_000, 100_000
 #: Candidates for the weights b and c of the mixture. Tokens whose probabilities are multiplied before a logarithm is taken.
 MIXES = tuple((b, c) for b in (0.02, 0.05, 0.1, 0.15, 0.2, 0.3) for c in (0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.5))
 FACTORS = 512
 #: Averages of weights that reach the driver.
 AVERAGES = 32
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_BLANK = np.isin(np.arange(256), [*range(9, 14), 32])
+
 CHUNK = "chunk long, doc_ids array<long>, held array<boolean>, counts array<long>, words binary, index binary, sizes binary, ids binary"
 
 
@@ -62,11 +66,31 @@ def _unpack(data: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(data), kind)
 
 
+def _words(data: np.ndarray, borders: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Lower-cased words of texts that lie one after another, and how many each text has. Long texts are split a part at a time, cut at white space."""
+    counts, found, at = np.zeros(len(borders) - 1, np.int64), [pa.array([], pa.large_binary())], 0
+    while at < len(data):
+        space = _SPACE.search(data, at + PART_BYTES)
+        upto = space.start() if space else len(data)
+        part = data[at:upto]
+        word, opens = ~_BLANK[part], np.zeros(len(part) + 1, bool)
+        opens[borders[(borders >= at) & (borders <= upto)] - at] = True
+        first, last = word.copy(), word.copy()
+        first[1:] &= ~word[:-1] | opens[1:-1]
+        last[:-1] &= ~word[1:] | opens[1:-1]
+        starts = np.flatnonzero(first)
+        offsets = np.append(0, np.cumsum(np.flatnonzero(last) + 1 - starts))
+        found.append(pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(_LOWER[part[word]])]))
+        counts += np.diff(np.searchsorted(starts + at, borders))
+        at = upto
+    return pa.concat_arrays(found), counts
+
+
 def _spellings(encoder: PieceEncoder, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Number of ids of each word after a space, and all ids. Some words at a time, as the tokenizer's results are far larger than their ids."""
     sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
     for lo in range(0, len(words), SPELLED_WORDS):
-        found = encoder.tokens(pa.array([b" " + w for w in words[lo : lo + SPELLED_WORDS]], pa.binary()).cast(pa.large_binary()).view(pa.large_string()))
+        found = encoder.spaced(words[lo : lo + SPELLED_WORDS])
         sizes.append(found[0])
         ids.append(found[1])
     return np.concatenate(sizes), np.concatenate(ids)
@@ -81,13 +105,8 @@ def _chunks(docs: DataFrame, path: str, id_col: str, text_col: str, folds: int,
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, (encoder, _, _) = TaskContext.get().partitionId(), _speller(path)
         for number, batch in enumerate(balanced(batches, 1, CHUNK_BYTES)):
-            counts, found = [], [pa.array([], pa.large_binary())]
-            data, borders = column_bytes(batch.column(1))
-            for lo, hi in zip(borders[:-1], borders[1:]):
-                parts = [pa.array(words, pa.large_binary()) for words in words_of(data[lo:hi].tobytes())]
-                counts.append(sum(map(len, parts)))
-                found += parts
-            coded = pa.concat_arrays(found).dictionary_encode()
+            found, counts = _words(*column_bytes(batch.column(1)))
+            coded = found.dictionary_encode()
             held = [i is not None and crc32(str(i).encode()) % folds == fold for i in batch.column(0).to_pylist()]
             known = coded.dictionary.to_pylist()
             words = np.frombuffer(b"\n".join(known), np.uint8)
@@ -99,7 +118,7 @@ def _chunks(docs: DataFrame, path: str, id_col: str, text_col: str, folds: int,
                  pa.array([_pack(sizes.astype("<i4"))], pa.binary()), pa.array([_pack(ids.astype("<i4"))], pa.binary())],
                 ["chunk", "doc_ids", "held", "counts", "words", "index", "sizes", "ids"],
             )
-            del data, found, coded, known, words, sizes, ids
+            del found, coded, known, words, sizes, ids
             give_back()
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(work, CHUNK)
@@ -203,7 +222,7 @@ def _speller(path: str) -> tuple[PieceEncoder, int, np.ndarray]:
     begins = np.zeros(end + 1)
     begins[[i for t, i in vocabulary.items() if t[0] == "Ġ"]] = 1
     begins[end] = 1
-    encoder = json_encoder(path, KEPT_PIECES)
+    encoder = json_encoder(path)
     del vocabulary
     give_back()
     return encoder, end, begins
@@ -319,8 +338,10 @@ def _so_far(token: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     size = counts + 1
     text = np.repeat(np.arange(len(size)), size)
     place = np.arange(len(token)) - np.repeat(np.cumsum(size) - size, size)
-    order = np.lexsort((place, token, text))
-    new = np.append(True, (token[order][1:] != token[order][:-1]) | (text[order][1:] != text[order][:-1]))[: len(order)]
+    word = text * (token.max(initial=0) + 1) + token
+    order = np.argsort(word * len(word) + np.arange(len(word)))  # no two are equal, so that any way of sorting gives one order
+    word = word[order]
+    new = np.append(True, word[1:] != word[:-1])[: len(order)]
     first = np.flatnonzero(new)
     met = np.empty(len(token))
     met[order] = np.arange(len(token)) - np.repeat(first, np.diff(np.append(first, len(token))))

@@ -145,6 +145,28 @@ class PieceEncoder:
         begins[order] = np.cumsum(lengths[order]) - lengths[order]
         return lengths, np.concatenate(flat)[ragged(begins, lengths)]
 
+    def spaced(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of each word after a space, and all ids; nothing is kept. Words that texts can be cut between go to the tokenizer as one text."""
+        pieces = pa.array([b" " + w for w in words], pa.large_binary())
+        data, ends = np.frombuffer(b"\0 " + b" ".join(words), np.uint8), np.cumsum([len(w) + 1 for w in words], dtype=np.int64) + 1
+        begins = np.append(2, ends[:-1] + 1)[: len(words)]
+        last = data[ends - 1]
+        wide = (last >= 128) & ((data[ends - 2] == 0xC2) | ((data[ends - 3] >= 0xE1) & (data[ends - 3] <= 0xE3)))
+        joins = (ends > begins) & _PLAIN[last] & ~wide & _FOLLOWS[data[np.minimum(begins, len(data) - 1)]]
+        try:
+            data.tobytes().decode()
+        except UnicodeDecodeError:  # what stands for a wrong byte has another width
+            joins[:] = False
+        if not self.cut or self.widths is None:
+            joins[:] = False
+        lengths, begin, flat = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [np.zeros(0, np.uint32)]
+        for chosen, first in ((joins, False), (~joins, True)):
+            if chosen.any():
+                size, ids = self._encoded(pieces.filter(pa.array(chosen)), first)
+                lengths[chosen], begin[chosen] = size, np.cumsum(size) - size + sum(map(len, flat))
+                flat.append(ids)
+        return lengths, np.concatenate(flat)[ragged(begin, lengths)]
+
     def _places(self, pieces: pa.Array, first: bool) -> np.ndarray:
         """Where the ids of each piece are kept; new pieces are encoded first."""
         found = pc.index_in(pieces, value_set=self._known[first])

@@ -273,3 +273,51 @@ def test_the_tokenizer_gets_few_words_at_a_time(monkeypatch):
     sizes, ids = lm_scores._spellings(lm_scores.PieceEncoder(encode, False), words)
     assert sizes.tolist() == whole[0].tolist() and ids.tolist() == whole[1].tolist()
     assert max(given) < 0.4 * sum(given)
+
+
+def test_words_reach_the_tokenizer_joined():
+    """A dictionary's words are spelled as they are alone, but not one by one; those that cannot be cut between go alone."""
+    words = [f"word{i}".encode() for i in range(5_000)] + [w.encode() for w in ("é", "café", "x ", " x", "'s", "<|endoftext|>", "　", "日本", "a\x1cb", "\x1f", "1", "…", "\x7f")]
+    inner = lm_scores._speller(PATH)[0]
+    given = []
+
+    def encode(pieces, first):
+        given.append(len(pieces))
+        return inner.encode(pieces, first)
+
+    for some in (words, words[:1], [], [*words, b"\xff\xfe", b"\xe3x"]):
+        given.clear()
+        sizes, ids = lm_scores._spellings(lm_scores.PieceEncoder(encode, True, inner.widths), some)
+        alone = [inner.encode([" " + w.decode("utf-8", "replace")], True)[0] for w in some]
+        assert sizes.tolist() == [len(a) for a in alone] and ids.tolist() == [i for a in alone for i in a]
+        if some is words:
+            assert sum(given) < 0.01 * len(words)
+
+
+def test_words_of_many_texts(monkeypatch):
+    monkeypatch.setattr(lm_scores, "PART_BYTES", 50)
+    texts = ["", " ", None, "A b", "b", "  \t\nÉté Zz\x0b\x0c\r[end]", "x" * 130, "lead " * 40, "  \x1c a", " tail", "", None]
+    for some in (texts, texts[::-1], [], ["", None], ["one"]):
+        data, borders = lm_scores.column_bytes(pa.array(some, pa.string()))
+        found, counts = lm_scores._words(data, borders)
+        assert [w.decode() for w in found.to_pylist()] == [w for t in some for w in words_of(t)]
+        assert counts.tolist() == [len(words_of(t)) for t in some]
+
+
+@pytest.mark.parametrize("shifted", [False, True])
+def test_steps_of_adam(monkeypatch, shifted):
+    """The steps on weights that lie in one vector are those of plain Adam on each."""
+    if shifted:
+        monkeypatch.setattr(attention, "_bound", lambda w: 1e9)
+    ids, targets, lengths = streams()
+    keys, there, use = attention.Windows(lengths)[:]
+    batch = classes().inputs[ids][keys], there, use, classes().outputs[targets][keys[:, attention.WINDOW - attention.STEP :]]
+    w = {k: v.astype(np.float64) for k, v in attention.start_weights().items()}
+    found, last = attention.descend(w, [batch] * 5, 0.01)
+    mean, square = ({k: 0 * v for k, v in w.items()} for _ in range(2))
+    for step in range(1, 6):
+        slopes, loss = attention.gradient(w, *batch)
+        for k, s in slopes.items():
+            mean[k], square[k] = 0.9 * mean[k] + 0.1 * s, 0.99 * square[k] + 0.01 * s * s
+            w[k] = w[k] - 0.01 * mean[k] / (1 - 0.9**step) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-8)
+    assert last == pytest.approx(loss) and all(found[k] == pytest.approx(w[k], rel=1e-6, abs=1e-9) for k in w)
