@@ -7,6 +7,7 @@ import math
 import duckdb
 import numpy as np
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from basketry.llm import block_search
@@ -57,3 +58,69 @@ def test_blocks_below_the_kth_score_are_not_read():
     q, ids = np.ones((1, 2)), np.arange(len(x))
     owner, ident, score, _, scored = block_search._tile(q, np.array([-1]), np.array([-np.inf]), x, ids, 10, False)
     assert scored == 1 and ident.tolist() == list(range(10)) and set(score) == {200}
+
+
+def small_parts(monkeypatch, **others):
+    for name, value in ({"BLOCK": 4, "BLOCKS": 4, "CHUNK": 7, "MOST_TILES": 3, "SLAB": 400} | others).items():
+        monkeypatch.setattr(block_search, name, value)
+
+
+def clusters(n, noise, scale):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((9, 8))[rng.integers(0, 9, n)] + noise * rng.standard_normal((n, 8))
+    x[n // 2] = x[n // 2 + 1] = x[0]
+    return [(i, [float(np.float32(v)) for v in scale * row]) for i, row in enumerate(x)]
+
+
+@pytest.mark.parametrize(("noise", "scale"), [(0.01, 1), (1, 1), (0.1, 40), (0.1, 2**16)])
+def test_slabs_of_clusters(spark, monkeypatch, noise, scale):
+    """Several slabs in a task; sums below and above what float32 and float64 hold."""
+    small_parts(monkeypatch)
+    rows = clusters(300, noise, scale)
+    df = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], FIELDS).repartition(3)
+    found = sorted(tuple(r) for r in block_search.top_k(df, 5, F.col("id") % 3 == 0, "vec_id", "embedding").collect())
+    assert found == plain(rows, 5, lambda i: i % 3 == 0)
+
+
+def test_vectors_travel_once(spark, monkeypatch):
+    """Each group goes to one slab, each chunk once to each slab, not each group to each chunk."""
+    small_parts(monkeypatch)
+    df = spark.createDataFrame([(i, v) for i, v in clusters(300, 0.1, 1)], "id long, v array<double>")
+    coded = block_search._coded(df).cache()
+    groups = block_search._packed(block_search._arranged(coded), 16).cache()
+    chunks = block_search._packed(block_search._arranged(coded.where("id % 3 = 0")), 7).withColumn("floor", F.lit(None).cast("binary")).cache()
+    dealt, slabs = block_search._dealt(groups)
+    met = block_search._met(dealt, chunks, slabs).withColumn("task", F.spark_partition_id()).collect()
+    assert 3 < slabs <= groups.count() and len({r.task for r in met}) == 3
+    held = [i for r in met if not r.asks for i in np.frombuffer(r.ids, "<i8").tolist()]
+    assert sorted(held) == list(range(300))
+    assert sorted((r.slab, r.part, r.place) for r in met if r.asks) == sorted((s, r.part, r.place) for s in range(slabs) for r in chunks.collect())
+    assert [(r.slab, r.asks) for t in range(3) for r in met if r.task == t] == [x for t in range(3) for x in sorted((r.slab, r.asks) for r in met if r.task == t)]
+
+
+def test_narrowest_numbers_that_are_exact():
+    ids, k = np.arange(3), 1
+    for top, kind in ((4000.0, np.float32), (4100.0, np.float64), (2.0**27, object)):
+        x = np.array([[top, 1.0], [top, 0.0], [-top, 3.0]])
+        queries = block_search._Queries(ids, x, np.full(3, -np.inf), k)
+        ((rows, s),) = queries.products(queries.all, block_search._Group(ids, x), slice(0, 3))
+        assert s.dtype == kind and s.tolist() == [[int(a * c) + int(b * d) for c, d in x] for a, b in x]
+
+
+def test_opening_threshold_is_reached_by_k_others():
+    rng = np.random.default_rng(1)
+    x = rng.integers(-50, 50, (block_search.BLOCK * 40, 6)).astype(np.int16)
+    ids = np.arange(len(x))
+    groups = [block_search._Group(i, v) for i, v in zip(np.split(ids, 20), np.split(x, 20))]
+    queries = block_search._Queries(ids[::50], x[::50], np.full(len(ids[::50]), -np.inf), 10)
+    floor = queries.open(*block_search._slab(groups, queries)).min(axis=1)
+    scores = x[::50].astype(int) @ x.astype(int).T
+    scores[np.arange(len(scores)), ids[::50]] = -(10**9)
+    assert (floor <= np.sort(scores, axis=1)[:, -10]).all() and (floor >= np.median(scores, axis=1)).all()
+    assert queries.scored == len(floor) * len(groups) // block_search.SPAN
+
+
+def test_vectors_without_components(spark):
+    df = spark.createDataFrame([(i, [], 1, 2) for i in range(5)], FIELDS)
+    found = sorted(tuple(r) for r in block_search.top_k(df, 2, F.col("id") < 2, "vec_id", "embedding").collect())
+    assert found == [(0, 1, 1, 0), (0, 2, 2, 0), (1, 1, 0, 0), (1, 2, 2, 0)]
